@@ -1,0 +1,7 @@
+SELECT *, CASE line WHEN 1 THEN 'gold' WHEN 2 THEN 'silver' WHEN 3 THEN 'bronze' END AS badge FROM (
+SELECT e.employee_id, first_name || ' ' || last_name AS full_name, e.department, pay_rate,
+       CAST((h4 + 50) // 100 AS DOUBLE) / 100 AS total_hours,
+       CAST((o4 + 50) // 100 AS DOUBLE) / 100 AS total_overtime_hours,
+       CAST(op_c AS DOUBLE) / 100 AS total_overtime_cost, rank() OVER (ORDER BY o4 DESC) AS overtime_rank,
+       row_number() OVER (ORDER BY o4 DESC, e.employee_id) AS line
+FROM employees e JOIN person p ON e.employee_id = p.employee_id) WHERE line <= 10

@@ -1,0 +1,46 @@
+"""Finding the few keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+# A key is hot when it holds more than both: an absolute number of rows one task
+# sorts comfortably, and a share of all rows. The share also bounds the result:
+# at most 1 / HOT_SHARE keys can be hot, whatever the data.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 1 / 20_000
+HASH_BUCKETS = 131_072
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(HASH_BUCKETS))
+
+
+def full_buckets(
+    rows: DataFrame, key: str, min_rows: int = HOT_ROWS, share: float = HOT_SHARE
+) -> DataFrame:
+    """Hash buckets of ``key`` with more rows than the limit for one key.
+
+    Reads the key column only, and each map task sends at most HASH_BUCKETS small
+    rows. No bucket over the limit means no key over the limit.
+    """
+    everything = F.sum("_rows").over(Window.partitionBy())
+    return (
+        rows.groupBy(_bucket(key).alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_limit", F.greatest(F.lit(min_rows), everything * F.lit(share)))
+        .filter("_rows > _limit")
+        .select("_bucket", "_limit")
+    )
+
+
+def hot_keys(rows: DataFrame, key: str, buckets: DataFrame) -> DataFrame:
+    """Keys (null included) over the limit, counted within the full ``buckets`` only."""
+    return (
+        rows.select(key, _bucket(key).alias("_bucket"))
+        .join(F.broadcast(buckets), "_bucket")
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.first("_limit").alias("_limit"))
+        .filter("_rows > _limit")
+        .select(key)
+    )
