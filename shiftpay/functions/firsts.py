@@ -17,6 +17,7 @@ def mark_repeats(
     key: str,
     order_by: list[str],
     flag: str,
+    rows_at_most: int | None = None,
     min_rows: int = HOT_ROWS,
     share: float = HOT_SHARE,
 ) -> DataFrame:
@@ -29,10 +30,13 @@ def mark_repeats(
     key, run beforehand, tells whether any key holds too many rows for that. Such
     hot keys never meet in one task: their first row comes from a map-side combined
     minimum (at most 1 / ``share`` rows, so it can be broadcast) and every row is
-    compared with it where it lies.
+    compared with it where it lies. ``rows_at_most`` bounds the input, if known: no
+    key of an input within ``min_rows`` is hot, and the count is not run.
     """
+    if rows_at_most is not None and rows_at_most <= min_rows:
+        return _mark_ordinary(rows, key, order_by, flag)
     buckets = full_buckets(rows, key, min_rows, share)
-    if buckets.isEmpty():
+    if buckets is None:
         return _mark_ordinary(rows, key, order_by, flag)
 
     hot = hot_keys(rows, key, buckets).withColumnRenamed(key, "_hot")

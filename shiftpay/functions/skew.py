@@ -18,17 +18,20 @@ def _bucket(key: str) -> Column:
 
 def full_buckets(
     rows: DataFrame, key: str, min_rows: int = HOT_ROWS, share: float = HOT_SHARE
-) -> DataFrame:
-    """Hash buckets of ``key`` with more rows than the limit for one key.
+) -> DataFrame | None:
+    """Hash buckets of ``key`` with more rows than the limit for one key, or None.
 
-    Reads the key column only, and each map task sends at most HASH_BUCKETS small
-    rows. No bucket over the limit means no key over the limit.
+    Runs a count that reads the key column only; each map task sends at most
+    HASH_BUCKETS small rows. No bucket over the limit means no key over the limit.
     """
+    buckets = rows.groupBy(_bucket(key).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    if buckets.filter(F.col("_rows") > min_rows).isEmpty():
+        return None
     everything = F.sum("_rows").over(Window.partitionBy())
     return (
-        rows.groupBy(_bucket(key).alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_limit", F.greatest(F.lit(min_rows), everything * F.lit(share)))
+        buckets.withColumn("_limit", F.greatest(F.lit(min_rows), everything * F.lit(share)))
         .filter("_rows > _limit")
         .select("_bucket", "_limit")
     )

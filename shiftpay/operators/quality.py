@@ -64,6 +64,7 @@ def validate(
     raw: DataFrame,
     ingest_order: list[str],
     seen: DataFrame | None = None,
+    rows_at_most: int | None = None,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
@@ -71,11 +72,13 @@ def validate(
 
     ``ingest_order`` names the columns that define which row came first. ``seen``
     (one column, log_id, no repeats) lists ids of earlier loads, clean or flagged.
+    ``rows_at_most``, where the caller knows a bound, saves the count for hot keys
+    when the whole input is no larger than one task may sort.
 
     The reason is computed after the duplicate test, so a filter on it stays above
     the window: a repeat of an invalid row must be reported as a duplicate.
     """
-    marked = mark_repeats(raw, "log_id", ingest_order, _REPEAT, hot_rows, hot_share)
+    marked = mark_repeats(raw, "log_id", ingest_order, _REPEAT, rows_at_most, hot_rows, hot_share)
     if seen is not None:
         known = seen.select(F.col("log_id").alias("_seen_id"), F.lit(True).alias("_seen"))
         marked = (

@@ -35,8 +35,17 @@ class Tables:
     def raw(self) -> DataFrame:
         return timeclock.raw_time_logs(self._spark, self._dir)
 
+    def _validate(self, raw: DataFrame) -> DataFrame:
+        bound = timeclock.raw_rows_at_most(self._spark, self._dir)
+        return quality.validate(raw, timeclock.INGEST_ORDER, rows_at_most=bound)
+
     def validated(self) -> DataFrame:
-        return quality.validate(self.raw(), timeclock.INGEST_ORDER)
+        return self._validate(self.raw())
+
+    def early_logs(self) -> DataFrame:
+        """What a load of the even part keys alone would store."""
+        raw = self.raw().filter("k1 % 2 = 0")
+        return pay.transform(quality.clean_logs(self._validate(raw)))
 
     def clean(self) -> DataFrame:
         return quality.clean_logs(self.validated())
@@ -136,16 +145,12 @@ def upsert_employees(t: Tables) -> DataFrame:
 @query
 def insert_new_logs(t: Tables) -> DataFrame:
     """Shifts the whole load adds to a table filled from the even part keys."""
-    early = t.raw().filter("k1 % 2 = 0")
-    stored = pay.transform(quality.clean_logs(quality.validate(early, timeclock.INGEST_ORDER)))
-    return merge.absent_logs(stored, t.logs())
+    return merge.absent_logs(t.early_logs(), t.logs())
 
 
 @query
 def upsert_payroll(t: Tables) -> DataFrame:
-    early = t.raw().filter("k1 % 2 = 0")
-    stored = pay.transform(quality.clean_logs(quality.validate(early, timeclock.INGEST_ORDER)))
-    old = pay.fold_payroll(pay.payroll_summary(stored))
+    old = pay.fold_payroll(pay.payroll_summary(t.early_logs()))
     return merge.upsert_payroll(old, pay.fold_payroll(t.payroll()))
 
 
