@@ -42,16 +42,14 @@ def month_of(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """Length in microseconds from ``start`` to ``end``, free of any time zone."""
-    span = end - start
-    whole = (
-        F.extract(F.lit("DAY"), span).cast("bigint") * 86400
-        + F.extract(F.lit("HOUR"), span).cast("bigint") * 3600
-        + F.extract(F.lit("MINUTE"), span).cast("bigint") * 60
+def micros_between(start: str, end: str) -> Column:
+    """Length in microseconds from column ``start`` to ``end``, free of any time zone."""
+    span = f"({end} - {start})"
+    return F.expr(
+        f"""(extract(day from {span}) * 86400L + extract(hour from {span}) * 3600
+             + extract(minute from {span}) * 60) * 1000000
+            + cast(extract(second from {span}) * 1000000 as bigint)"""
     )
-    seconds = F.extract(F.lit("SECOND"), span)
-    return whole * 1_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def full_name() -> Column:

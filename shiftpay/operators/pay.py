@@ -19,10 +19,10 @@ _HOUR_UNIT = Decimal("0.0001")
 _MICROS_PER_UNIT = 360_000
 
 
-def hours_between(start: Column, end: Column) -> Column:
+def hours_between(start: str, end: str) -> Column:
     """Hours at four decimals, ties up, counted in integers (``end`` after ``start``)."""
     padded = micros_between(start, end) + _MICROS_PER_UNIT // 2
-    units = F.call_function("div", padded, F.lit(_MICROS_PER_UNIT).cast("bigint"))
+    units = F.call_function("div", padded, F.lit(_MICROS_PER_UNIT))
     return (units.cast("decimal(9,0)") * F.lit(_HOUR_UNIT)).cast(schemas.HOURS)
 
 
@@ -32,31 +32,23 @@ def transform(
     overtime_factor: Decimal = OVERTIME_FACTOR,
 ) -> DataFrame:
     """Clean shifts with hours, overtime and pay; each amount is rounded per shift."""
-    hours, rate = F.col("hours_worked"), F.col("pay_rate")
-    limit = F.lit(standard_hours)
-    overtime = F.greatest(hours - limit, F.lit(Decimal("0")))
-    regular = F.least(hours, limit)
+    raw = schemas.names(schemas.RAW_LOGS)
+    filled = {"department": f"coalesce(department, '{NO_DEPARTMENT}') as department"}
     return (
-        clean.withColumn("hours_worked", hours_between(F.col("clock_in"), F.col("clock_out")))
-        .withColumns(
-            {
-                "department": F.coalesce("department", F.lit(NO_DEPARTMENT)),
-                "overtime_hours": half_up(overtime, 4).cast(schemas.HOURS),
-                "regular_hours": half_up(regular, 4).cast(schemas.HOURS),
-            }
+        clean.select(*raw, hours_between("clock_in", "clock_out").alias("hours_worked"))
+        .selectExpr(
+            *[filled.get(c, c) for c in raw],
+            "hours_worked",
+            f"cast(greatest(hours_worked - {standard_hours}, 0) as decimal(6,4)) as overtime_hours",
+            f"cast(least(hours_worked, {standard_hours}) as decimal(6,4)) as regular_hours",
         )
-        .withColumns(
-            {
-                "regular_pay": half_up(F.col("regular_hours") * rate, 2).cast(schemas.PAY),
-                "overtime_pay": half_up(
-                    F.col("overtime_hours") * rate * F.lit(overtime_factor), 2
-                ).cast(schemas.PAY),
-            }
+        .selectExpr(
+            "*",
+            "cast(round(regular_hours * pay_rate, 2) as decimal(10,2)) as regular_pay",
+            f"""cast(round(overtime_hours * pay_rate * {overtime_factor}, 2) as decimal(10,2))
+                as overtime_pay""",
         )
-        .withColumn(
-            "gross_pay", (F.col("regular_pay") + F.col("overtime_pay")).cast(schemas.PAY)
-        )
-        .select(*schemas.names(schemas.TIME_LOGS))
+        .selectExpr("*", "cast(regular_pay + overtime_pay as decimal(10,2)) as gross_pay")
     )
 
 

@@ -44,7 +44,7 @@ def wrong_sequence() -> Column:
 
 
 def wrong_hours() -> Column:
-    length = micros_between(F.col("clock_in"), F.col("clock_out"))
+    length = micros_between("clock_in", "clock_out")
     return (length < int(MIN_HOURS * _MICROS_PER_HOUR)) | (length > MAX_HOURS * _MICROS_PER_HOUR)
 
 

@@ -7,80 +7,70 @@ the SQL side of the checks.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from shiftpay import schemas
-
-# Fixed values of the derivation.
-START_HOURS = (6, 7, 8, 9, 10, 14, 22)
 INGEST_ORDER = ["clock_in", "k1", "k2", "k3", "k4", "k5"]
 
+# The columns read of each table; a fixed schema saves a look into the files.
+_COLUMNS = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
+    ),
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _numbered(prefix: str, number: Column, width: int) -> Column:
+def _numbered(prefix: str, number: str, width: int) -> str:
     """Number padded with zeros to ``width`` digits; a longer one keeps all its digits."""
-    padded = F.substring((number + 10**width).cast("string"), 2, width)
-    digits = F.when(number < 10**width, padded).otherwise(number.cast("string"))
-    return F.concat(F.lit(prefix), digits)
-
-
-def _cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+    limit = f"{10**width}L"
+    return (
+        f"concat('{prefix}', if({number} < {limit}, "
+        f"substring(cast({number} + {limit} as string), 2, {width}), cast({number} as string)))"
+    )
 
 
 def _staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier rows as employees, still without the department."""
-    number = F.col("s_suppkey")
-    extra = (_cents(F.abs("s_acctbal")) % 6651).cast("decimal(10,0)") * F.lit("0.01").cast(
-        "decimal(2,2)"
-    )
-    return _table(spark, sf_dir, "supplier").select(
+    return _table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey",
         "s_nationkey",
         "s_name",
-        _numbered("EMP", number, 7).alias("employee_id"),
-        (F.lit("18.50").cast("decimal(4,2)") + extra).cast(schemas.RATE).alias("pay_rate"),
+        f"{_numbered('EMP', 's_suppkey', 7)} as employee_id",
+        """cast(18.50 + cast(cast(round(abs(s_acctbal) * 100) as bigint) % 6651 as decimal(10,0))
+           * 0.01 as decimal(8,2)) as pay_rate""",
     )
 
 
 def _departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("department")
+    return _table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey as s_nationkey", "n_name as department"
     )
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("s_suppkey")
     return (
         _staff(spark, sf_dir)
         .join(_departments(spark, sf_dir), "s_nationkey")
-        .select(
+        .selectExpr(
             "employee_id",
-            F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
-            F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
+            "split_part(s_name, '#', 1) as first_name",
+            "split_part(s_name, '#', 2) as last_name",
             "department",
             "pay_rate",
-            F.date_add(F.lit("2015-01-01").cast("date"), (number * 37 % 3651).cast("int")).alias(
-                "hire_date"
-            ),
-            F.when(number % 6 == 4, "Inactive")
-            .when(number % 6 == 5, "On Leave")
-            .otherwise("Active")
-            .alias("status"),
-            F.concat(F.lower("employee_id"), F.lit("@example.org")).alias("email"),
+            "date_add(date'2015-01-01', cast(s_suppkey * 37 % 3651 as int)) as hire_date",
+            """case s_suppkey % 6 when 4 then 'Inactive' when 5 then 'On Leave'
+               else 'Active' end as status""",
+            "concat(lower(employee_id), '@example.org') as email",
         )
     )
 
 
-def _shifted(moment: Column, seconds: Column) -> Column:
-    return moment + F.lit(timedelta(seconds=1)) * seconds
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their log_id.
 
@@ -88,8 +78,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread first, by the key that the duplicate test groups by; that test then needs
     no shuffle of its own. With enough files nothing is moved here.
     """
-    lines = _table(spark, sf_dir, "lineitem").withColumn(
-        "log_id", _numbered("LOG", F.col("l_orderkey") * 10 + F.col("l_linenumber"), 9)
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_numbered('LOG', '(l_orderkey * 10 + l_linenumber)', 9)} as log_id", "*"
     )
     if len(lines.inputFiles()) < spark.sparkContext.defaultParallelism:
         lines = lines.repartition("log_id")
@@ -103,50 +93,42 @@ def raw_time_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation first would look like a large table to the planner, which takes the
     product of the sizes, and it would broadcast the line items instead.
     """
-    lines = _lines(spark, sf_dir)
-    part, order = F.col("l_partkey"), F.col("l_orderkey")
-    price = _cents(F.col("l_extendedprice"))
-
-    hour = F.element_at(
-        F.array(*[F.lit(h) for h in START_HOURS]), F.col("l_linenumber")
-    ).cast("bigint")
-    start = _shifted(F.col("l_shipdate"), hour * 3600 + part % 60 * 60 + order % 60)
-
-    kind = (order * 7 + part) % 100
-    length = (
-        F.when(kind < 5, F.lit(None).cast("bigint"))
-        .when(kind <= 6, -(price % 7201 + 3600))
-        .when(kind == 7, 0)
-        .when(kind == 8, 600)
-        .when(kind == 9, 90000)
-        .when(kind == 10, 1800)
-        .when(kind == 11, 86400)
-        .when(kind == 12, 28800)
-        .when(kind == 13, 28801)
-        .otherwise(price % 36001 + 14400)
-    )
-    who = (
-        F.when(part % 101 == 0, F.lit(None).cast("string"))
-        .when(part % 101 == 1, "")
-        .otherwise(F.col("employee_id"))
+    timed = _lines(spark, sf_dir).selectExpr(
+        "*",
+        "(l_orderkey * 7 + l_partkey) % 100 as kind",
+        "cast(round(l_extendedprice * 100) as bigint) as price",
+        """l_shipdate + interval '1' second * (
+             element_at(array(6, 7, 8, 9, 10, 14, 22), l_linenumber) * 3600L
+             + l_partkey % 60 * 60 + l_orderkey % 60) as clock_in""",
     )
+    staff = _staff(spark, sf_dir).withColumnRenamed("s_suppkey", "l_suppkey")
     return (
-        lines.join(_staff(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+        timed.join(staff, "l_suppkey")
         .join(_departments(spark, sf_dir), "s_nationkey")
-        .withColumn("clock_in", start)
-        .select(
+        .selectExpr(
             "log_id",
-            who.alias("employee_id"),
+            """case l_partkey % 101 when 0 then null when 1 then '' else employee_id end
+               as employee_id""",
             "clock_in",
-            _shifted(F.col("clock_in"), length).alias("clock_out"),
-            F.when(part % 97 != 0, F.col("department")).alias("department"),
+            """clock_in + interval '1' second * case
+                 when kind < 5 then null
+                 when kind <= 6 then -(3600 + price % 7201)
+                 when kind = 7 then 0
+                 when kind = 8 then 600
+                 when kind = 9 then 90000
+                 when kind = 10 then 1800
+                 when kind = 11 then 86400
+                 when kind = 12 then 28800
+                 when kind = 13 then 28801
+                 else 14400 + price % 36001 end as clock_out""",
+            "if(l_partkey % 97 = 0, null, department) as department",
             "pay_rate",
-            F.col("l_shipdate").cast("date").alias("log_date"),
-            part.alias("k1"),
-            F.col("l_suppkey").alias("k2"),
-            F.col("l_shipdate").alias("k3"),
-            price.alias("k4"),
-            F.col("l_quantity").alias("k5"),
+            "cast(l_shipdate as date) as log_date",
+            "l_partkey as k1",
+            "l_suppkey as k2",
+            "l_shipdate as k3",
+            "price as k4",
+            "l_quantity as k5",
         )
     )
 
