@@ -94,14 +94,13 @@ def cost_by_month(logs: DataFrame) -> DataFrame:
 def rank_by_hours(logs: DataFrame, employees: DataFrame) -> DataFrame:
     """Company rank, rank within the department and quartile by exact hours."""
     hours = logs.groupBy("employee_id").agg(F.sum("hours_worked").alias("hours"))
-    staff = employees.select("employee_id", "department")
-    rows = hours.join(staff, "employee_id")
-    ranked = dense_rank_within(
-        rank_all(rows, "hours", "employee_id"), "department", "hours", "employee_id"
-    )
+    rows = hours.join(employees.select("employee_id", "department"), "employee_id")
+    in_company = rank_all(rows.select("employee_id", "hours"), "hours", "employee_id")
+    in_department = dense_rank_within(rows, "department", "hours", "employee_id")
     names = employees.select("employee_id", full_name().alias("full_name"))
     return (
-        ranked.join(names, "employee_id")
+        in_department.join(in_company.drop("hours"), "employee_id")
+        .join(names, "employee_id")
         .select(
             "employee_id",
             "full_name",
