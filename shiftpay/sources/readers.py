@@ -57,6 +57,16 @@ def read_time_logs(
     return _positioned(spark, path, schemas.RAW_LOGS, null_tokens)
 
 
+def read_processed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    null_tokens: tuple[str, ...] = NULL_TOKENS,
+) -> DataFrame:
+    """An exported CSV table with its fixed schema."""
+    return parse(_read_text(spark, path, schema), schema, null_tokens)
+
+
 def _positioned(
     spark: SparkSession, path: str, schema: T.StructType, null_tokens: tuple[str, ...]
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shiftpay import schemas
 from shiftpay.operators import merge
@@ -34,33 +34,36 @@ def with_month(logs: DataFrame) -> DataFrame:
     return logs.withColumn("log_month", F.date_format("log_date", "yyyy-MM"))
 
 
-def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
-    """Rows with a count taken while they are written, not by a job of its own."""
-    seen = Observation()
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def _stored_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a written table, from its file footers."""
+    if not files.exists(spark, path):
+        return 0
+    return spark.read.schema("_none int").parquet(path).count()
 
 
-def write_logs(logs: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Processed shifts as Parquet by month.
+def write_logs(logs: DataFrame, path: str) -> int:
+    """Processed shifts as Parquet by month; rows written.
 
     The rebalance gives a month as many files as its size asks for, also when one
     month holds most rows; sorted files let readers skip by employee.
     """
-    rows, seen = _counted(with_month(logs))
     (
-        rows.hint("rebalance", "log_month")
+        with_month(logs)
+        .hint("rebalance", "log_month")
         .sortWithinPartitions("log_month", "employee_id")
-        .write.mode(mode)
+        .write.mode("overwrite")
         .partitionBy("log_month")
         .parquet(path)
     )
-    return seen.get["rows"]
+    return _stored_rows(logs.sparkSession, path)
 
 
 def write_table(rows: DataFrame, path: str, mode: str = "overwrite") -> int:
-    counted, seen = _counted(rows)
-    counted.write.mode(mode).parquet(path)
-    return seen.get["rows"]
+    """A table as Parquet; rows written."""
+    spark = rows.sparkSession
+    before = _stored_rows(spark, path) if mode == "append" else 0
+    rows.write.mode(mode).parquet(path)
+    return _stored_rows(spark, path) - before
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -147,16 +150,15 @@ def load_payroll(root: str, summary: DataFrame) -> int:
     loaded = files.stage(fold_payroll(summary), "payroll-load")
     old = payroll(spark, root).filter(any_of(loaded, "week_start"))
     merged = files.stage(merge.upsert_payroll(old, loaded), "payroll")
-    rows, seen = _counted(merged)
     (
-        rows.hint("rebalance", "week_start")
+        merged.hint("rebalance", "week_start")
         .sortWithinPartitions("week_start", "employee_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("week_start")
         .parquet(f"{root}/payroll_summary")
     )
-    return seen.get["rows"]
+    return merged.count()
 
 
 def any_of(rows: DataFrame, column: str) -> Column:
