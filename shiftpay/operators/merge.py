@@ -81,7 +81,7 @@ def absent_logs(
     """
     if order_by:
         new = mark_repeats(new, "log_id", order_by, "_again").filter("not _again").drop("_again")
-    ids = new.select("log_id").distinct().alias("i")
+    ids = new.select("log_id").alias("i")
     known = (
         old.select("log_id").alias("o").join(
             ids, F.col("o.log_id").eqNullSafe(F.col("i.log_id")), "left_semi"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shiftpay.functions.columns import half_up, ratio, total
 
@@ -53,9 +53,7 @@ def high_overtime_departments(summary: DataFrame) -> DataFrame:
 
 def overtime_severity(overtime: DataFrame) -> DataFrame:
     """Overtime rows with the severity flag and the company's overtime hours and cost."""
-    sums = overtime.agg(
-        F.sum("total_overtime_hours").alias("hours"), F.sum("total_overtime_cost").alias("cost")
-    )
+    departments = Window.partitionBy()
     return overtime.select(
         "department",
         "overtime_shifts",
@@ -63,8 +61,8 @@ def overtime_severity(overtime: DataFrame) -> DataFrame:
         "total_overtime_cost",
         "overtime_rate_pct",
         F.coalesce(F.col("overtime_rate_pct") > SEVERE_OVERTIME_PCT, F.lit(False)).alias("severe"),
-        sums.select("hours").scalar().alias("company_overtime_hours"),
-        sums.select("cost").scalar().alias("company_overtime_cost"),
+        F.sum("total_overtime_hours").over(departments).alias("company_overtime_hours"),
+        F.sum("total_overtime_cost").over(departments).alias("company_overtime_cost"),
     ).orderBy(F.desc("total_overtime_hours"), "department")
 
 

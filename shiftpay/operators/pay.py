@@ -32,12 +32,18 @@ def transform(
     overtime_factor: Decimal = OVERTIME_FACTOR,
 ) -> DataFrame:
     """Clean shifts with hours, overtime and pay; each amount is rounded per shift."""
+    return _computed(clean, standard_hours, overtime_factor).drop("filled")
+
+
+def _computed(clean: DataFrame, standard_hours: Decimal, overtime_factor: Decimal) -> DataFrame:
+    """The processed columns, and ``filled``: whether the department was missing."""
     raw = schemas.names(schemas.RAW_LOGS)
     filled = {"department": f"coalesce(department, '{NO_DEPARTMENT}') as department"}
     return (
         clean.select(*raw, hours_between("clock_in", "clock_out").alias("hours_worked"))
         .selectExpr(
             *[filled.get(c, c) for c in raw],
+            "department is null as filled",
             "hours_worked",
             f"cast(greatest(hours_worked - {standard_hours}, 0) as decimal(6,4)) as overtime_hours",
             f"cast(least(hours_worked, {standard_hours}) as decimal(6,4)) as regular_hours",
@@ -92,11 +98,15 @@ def run_totals(logs: DataFrame) -> DataFrame:
     )
 
 
-def transform_stats(clean: DataFrame, logs: DataFrame) -> DataFrame:
+def transform_stats(
+    clean: DataFrame,
+    standard_hours: Decimal = STANDARD_HOURS,
+    overtime_factor: Decimal = OVERTIME_FACTOR,
+) -> DataFrame:
     """Mean hours and pay per shift, overtime hours, and departments filled in."""
-    filled = clean.agg(F.count_if(F.col("department").isNull()).alias("n")).scalar()
-    return logs.agg(
+    return _computed(clean, standard_hours, overtime_factor).agg(
         mean("hours_worked", 2).alias("avg_hours"),
         mean("gross_pay", 2).alias("avg_gross_pay"),
         half_up(F.sum("overtime_hours"), 1).alias("total_overtime_hours"),
-    ).withColumn("departments_filled", filled)
+        F.count_if("filled").alias("departments_filled"),
+    )

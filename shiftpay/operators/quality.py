@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shiftpay import schemas
 from shiftpay.functions.columns import COUNT, micros_between, ratio
@@ -155,7 +155,7 @@ def error_summary(errors: DataFrame) -> DataFrame:
     counts = errors.groupBy(
         F.coalesce("error_reason", F.lit("UNKNOWN")).alias("error_reason")
     ).agg(F.count(F.lit(1)).alias("count"))
-    everything = counts.agg(F.sum("count").alias("total")).scalar()
+    everything = F.sum("count").over(Window.partitionBy())
     return counts.select(
         "error_reason",
         "count",

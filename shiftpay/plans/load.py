@@ -15,7 +15,7 @@ from shiftpay.sources import files, sinks
 
 @dataclass
 class Load:
-    """What a load produced: staged frames and the rows written per table."""
+    """What a load produced: its frames, from staged files, and the rows per table."""
 
     validated: DataFrame
     logs: DataFrame
@@ -87,10 +87,13 @@ def load_raw(
     errors = quality.validation_errors(validated, run_id, now)
     has_errors = sinks.load_errors(root, errors, batch_id)
     summary = pay.payroll_summary(touched_logs(root, logs, batch_id))
+    payroll_rows = sinks.load_payroll(root, summary)
+    metrics = quality.run_metrics(validated).withColumn("run_id", F.lit(run_id))
+    sinks.finish_load(root, metrics, batch_id)
     return Load(
         validated=validated,
         logs=logs,
         logs_inserted=inserted,
-        payroll_rows=sinks.load_payroll(root, summary),
+        payroll_rows=payroll_rows,
         has_errors=has_errors,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shiftpay.operators import pay, quality
 from shiftpay.plans.load import load_raw
-from shiftpay.sources import files, sinks
+from shiftpay.sources import sinks
 
 
 def run_pipeline(
@@ -30,7 +30,7 @@ def run_pipeline(
     started = datetime.now(timezone.utc)
     clock = time.monotonic()
     run_id = started.strftime("%Y%m%d_%H%M%S")
-    batch_id = next_batch(spark, root)
+    batch_id = sinks.next_batch(spark, root)
     directory = [c for c in employees.columns if not c.startswith("_")]
 
     staff = sinks.load_employees(root, employees, started, employee_order)
@@ -74,11 +74,3 @@ def run_pipeline(
             F.lit("FAILED" if problem else "SUCCESS").alias("status"),
         )
     )
-
-
-def next_batch(spark: SparkSession, root: str) -> int:
-    """One above the highest load number below ``root``."""
-    names = files.folders(spark, f"{root}/time_logs") + files.folders(
-        spark, f"{root}/validation_errors"
-    )
-    return max((int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")), default=0) + 1

@@ -250,8 +250,7 @@ def transformed_logs(t: Tables) -> DataFrame:
 
 @query
 def transform_stats(t: Tables) -> DataFrame:
-    clean = t.clean()
-    return pay.transform_stats(clean, pay.transform(clean))
+    return pay.transform_stats(t.clean())
 
 
 @query

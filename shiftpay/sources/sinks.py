@@ -6,8 +6,10 @@ Layout below a warehouse folder:
     time_logs/batch_id=K/log_month=...      rows inserted by load K
     validation_errors/batch_id=K            rows flagged by load K
     payroll_summary/week_start=...          one row per employee and week
+    loads/batch_id=K                        counts of load K, written when it is done
 
 Writing load K again replaces what load K wrote, so a repeated load changes nothing.
+A load that broke off has no row in loads and is to be repeated under its number.
 """
 
 from __future__ import annotations
@@ -80,8 +82,8 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 
 def write_errors(errors: DataFrame, path: str) -> bool:
-    """Flagged rows; nothing is written when there are none."""
-    if errors.isEmpty():
+    """Flagged rows; nothing is written when there are none and nothing to replace."""
+    if errors.isEmpty() and not files.exists(errors.sparkSession, path):
         return False
     errors.write.mode("overwrite").parquet(path)
     return True
@@ -140,6 +142,19 @@ def load_errors(root: str, errors: DataFrame, batch_id: int) -> bool:
     return write_errors(errors, f"{root}/validation_errors/batch_id={batch_id}")
 
 
+def finish_load(root: str, metrics: DataFrame, batch_id: int) -> None:
+    """Record that load ``batch_id`` is complete, with its counts."""
+    metrics.write.mode("overwrite").parquet(f"{root}/loads/batch_id={batch_id}")
+
+
+def next_batch(spark: SparkSession, root: str) -> int:
+    """Number for a batch run: one above the highest finished load."""
+    names = files.folders(spark, f"{root}/loads")
+    numbers = [int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")]
+    finished = [n for n in numbers if files.finished(spark, f"{root}/loads/batch_id={n}")]
+    return max(finished, default=0) + 1
+
+
 def load_payroll(root: str, summary: DataFrame) -> int:
     """Upsert payroll rows; only the weeks in ``summary`` are read and rewritten.
 

@@ -74,14 +74,14 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their log_id.
 
-    A table of fewer files than cores is read by too few tasks, so its rows are
-    spread first, by the key that the duplicate test groups by; that test then needs
-    no shuffle of its own. With enough files nothing is moved here.
+    A table too small to be read by as many tasks as there are cores is spread
+    first, by the key that the duplicate test groups by; that test then needs no
+    shuffle of its own. A large table is not moved here.
     """
     lines = _table(spark, sf_dir, "lineitem").selectExpr(
         f"{_numbered('LOG', '(l_orderkey * 10 + l_linenumber)', 9)} as log_id", "*"
     )
-    if len(lines.inputFiles()) < spark.sparkContext.defaultParallelism:
+    if lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         lines = lines.repartition("log_id")
     return lines
 

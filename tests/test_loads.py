@@ -10,7 +10,8 @@ from rows import by, logs, raw, staff
 from shiftpay import schemas
 from shiftpay.operators import merge, pay, quality
 from shiftpay.plans.load import load_raw
-from shiftpay.plans.pipeline import next_batch, run_pipeline
+from shiftpay.plans import load
+from shiftpay.plans.pipeline import run_pipeline
 from shiftpay.sources import files, readers, sinks
 from shiftpay.streaming import incremental
 
@@ -242,13 +243,31 @@ def test_pipeline(spark, tmp_path):
     assert (row.load.employees, row.load.time_logs, row.load.payroll_summary) == (2, 5, 3)
     assert sinks.payroll(spark, warehouse).count() == 3
     assert spark.read.option("header", True).csv(f"{root}/export/time_logs").count() == 5
-    assert next_batch(spark, root) == 2
+    assert sinks.next_batch(spark, root) == 2
 
     again = run_pipeline(spark, root, people, _raw(spark), ["n"]).first()
     assert (again.batch_id, again.load.time_logs, again.upload.status) == (2, 0, "skipped")
     assert sinks.time_logs(spark, root).count() == 5
 
 
+def test_a_run_that_broke_off_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    people = staff(spark, {}, {})
+    run_pipeline(spark, whole, people, _raw(spark), ["n"])
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load.sinks, "load_payroll", fail)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, broken, people, _raw(spark), ["n"])
+    assert sinks.time_logs(spark, broken).count() == 5
+    again = run_pipeline(spark, broken, people, _raw(spark), ["n"]).first()
+    assert (again.batch_id, again.load.time_logs) == (1, 5)
+    _same(_tables(spark, whole), _tables(spark, broken))
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     text = _raw(spark).withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("clock_in", "clock_out")}

@@ -200,6 +200,19 @@ def test_employee_pages(people):
             ids(**wrong)
 
 
+def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+    people = staff(spark, *[{"last_name": f"N{i * 7 % 50}"} for i in range(57)]).repartition(5)
+
+    def pages():
+        found = [listings.employees_page(people, page, 10).collect() for page in range(1, 8)]
+        return [[(r.employee_id, r.total) for r in page] for page in found]
+
+    shallow = pages()
+    monkeypatch.setattr(listings, "SHALLOW", 5)
+    assert pages() == shallow
+    assert [len(page) for page in shallow] == [10, 10, 10, 10, 10, 7, 0]
+
+
 def test_profiles(shifts, people):
     found = {r.employee_id: r for r in listings.employee_profiles(shifts, people).collect()}
     assert (found["E4"].total_shifts, found["E4"].total_hours) == (0, None)
