@@ -24,6 +24,7 @@ MAX_HOURS = 24
 
 _MICROS_PER_HOUR = 3_600_000_000
 _REPEAT = "_is_repeat"
+_NEW = "_is_new"
 
 
 def missing_employee() -> Column:
@@ -78,13 +79,24 @@ def validate(
     The reason is computed after the duplicate test, so a filter on it stays above
     the window: a repeat of an invalid row must be reported as a duplicate.
     """
-    marked = mark_repeats(raw, "log_id", ingest_order, _REPEAT, rows_at_most, hot_rows, hot_share)
-    if seen is not None:
-        known = seen.select(F.col("log_id").alias("_seen_id"), F.lit(True).alias("_seen"))
+    if seen is None:
+        marked = mark_repeats(
+            raw, "log_id", ingest_order, _REPEAT, rows_at_most, hot_rows, hot_share
+        )
+    else:
+        # Seen ids go in ahead of the raw rows and are taken out again, so one
+        # shuffle serves both tests.
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema if f.name != "log_id"]
+        rows = raw.withColumn(_NEW, F.lit(True)).unionByName(
+            seen.select("log_id", *empty, F.lit(False).alias(_NEW))
+        )
+        bound = None if rows_at_most is None else rows_at_most + 1
         marked = (
-            marked.join(known, F.col("log_id").eqNullSafe(F.col("_seen_id")), "left")
-            .withColumn(_REPEAT, F.col(_REPEAT) | F.coalesce("_seen", F.lit(False)))
-            .drop("_seen_id", "_seen")
+            mark_repeats(
+                rows, "log_id", [_NEW, *ingest_order], _REPEAT, bound, hot_rows, hot_share
+            )
+            .filter(_NEW)
+            .drop(_NEW)
         )
     return marked.withColumn("error_reason", reason(F.col(_REPEAT))).drop(_REPEAT)
 

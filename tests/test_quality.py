@@ -80,6 +80,21 @@ def test_ids_seen_before_are_duplicates(spark):
     }
 
 
+def test_seen_ids_of_hot_keys(spark):
+    rows = raw(spark, *[{"log_id": "X"}] * 30, *[{"log_id": "Y"}] * 30, {"log_id": None})
+    seen = spark.createDataFrame([("X",), ("Z",)], "log_id string")
+    plain = quality.validate(rows, ["n"], seen)
+    split = quality.validate(rows, ["n"], seen, hot_rows=10, hot_share=0.01)
+    assertDataFrameEqual(split.select(plain.columns), plain)
+    counts = Counter((r.log_id, r.error_reason) for r in split.collect())
+    assert counts == {
+        ("X", "DUPLICATE_RECORD"): 30,
+        ("Y", None): 1,
+        ("Y", "DUPLICATE_RECORD"): 29,
+        (None, None): 1,
+    }
+
+
 def test_hot_ids_give_the_same_rows_as_the_plain_way(spark):
     same = {"log_id": "HOT", "n": 7}
     rows = raw(
