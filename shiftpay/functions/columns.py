@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -19,6 +20,11 @@ def total(name: str, digits: int = 2) -> Column:
     return half_up(F.sum(name), digits)
 
 
+def total_or_zero(name: str, digits: int = 2) -> Column:
+    """Rounded sum of a whole table, 0 when it has no rows."""
+    return half_up(F.coalesce(F.sum(name), F.lit(Decimal("0"))), digits)
+
+
 def ratio(numerator: Column, denominator: Column, digits: int, times: int = 1) -> Column:
     """numerator * times / denominator in exact decimals; null when the denominator is 0."""
     return half_up(numerator * F.lit(times) / F.nullif(denominator, F.lit(0)), digits)

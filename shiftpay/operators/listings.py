@@ -70,6 +70,17 @@ def _slice(ordered: DataFrame, start: int, size: int) -> DataFrame:
     )
 
 
+def matching_employees(
+    employees: DataFrame, department: str | None = None, status: str | None = None
+) -> DataFrame:
+    """The employees a page is cut from; empty filters do not filter."""
+    if department:
+        employees = employees.filter(_contains("department", department))
+    if status:
+        employees = employees.filter(F.col("status") == status)
+    return employees
+
+
 def employees_page(
     employees: DataFrame,
     page: int = 1,
@@ -77,12 +88,8 @@ def employees_page(
     department: str | None = None,
     status: str | None = None,
 ) -> DataFrame:
-    """Directory page by last and first name; empty filters do not filter."""
-    rows = employees
-    if department:
-        rows = rows.filter(_contains("department", department))
-    if status:
-        rows = rows.filter(F.col("status") == status)
+    """Directory page by last and first name, with the number of matching employees."""
+    rows = matching_employees(employees, department, status)
     order = ["last_name", "first_name", "employee_id"]
     return _page(rows, rows, order, page, page_size)
 
@@ -112,6 +119,17 @@ def employee_profiles(
     )
 
 
+def matching_payroll(
+    payroll: DataFrame, department: str | None = None, week_start: date | str | None = None
+) -> DataFrame:
+    """The payroll rows a page is cut from; the department is the payroll row's."""
+    if department:
+        payroll = payroll.filter(_contains("department", department))
+    if week_start:
+        payroll = payroll.filter(F.col("week_start") == F.lit(week_start).cast("date"))
+    return payroll
+
+
 def payroll_page(
     payroll: DataFrame,
     employees: DataFrame,
@@ -122,14 +140,9 @@ def payroll_page(
 ) -> DataFrame:
     """Payroll page with names, latest week and highest pay first.
 
-    The department filter is on the payroll row. The total counts payroll rows,
-    also those whose employee is not in the directory.
+    The total counts payroll rows, also those whose employee is not in the directory.
     """
-    rows = payroll
-    if department:
-        rows = rows.filter(_contains("department", department))
-    if week_start:
-        rows = rows.filter(F.col("week_start") == F.lit(week_start).cast("date"))
+    rows = matching_payroll(payroll, department, week_start)
     names = employees.select("employee_id", full_name().alias("full_name"))
     order = [F.desc("week_start"), F.desc("total_gross_pay"), "employee_id", "department"]
     return _page(rows.join(names, "employee_id"), rows, order, page, page_size)

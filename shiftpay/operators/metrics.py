@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shiftpay.functions.columns import half_up, ratio, total
+from shiftpay.functions.columns import ratio, total, total_or_zero
 
 # Limits of the overtime flags in percent, and of an employee's hours.
 HIGH_OVERTIME_PCT = 15
@@ -70,10 +70,10 @@ def company_kpis(overview: DataFrame) -> DataFrame:
     """Company totals, overtime shares and the costliest department (first by name on ties)."""
     costliest = F.min(F.struct((-F.col("total_gross_pay")).alias("pay"), F.col("department")))
     return overview.agg(
-        F.sum("total_gross_pay").alias("total_payroll"),
-        F.sum("total_hours").alias("total_hours"),
-        F.sum("total_overtime_hours").alias("total_overtime_hours"),
-        F.sum("total_overtime_cost").alias("total_overtime_cost"),
+        total_or_zero("total_gross_pay").alias("total_payroll"),
+        total_or_zero("total_hours").alias("total_hours"),
+        total_or_zero("total_overtime_hours").alias("total_overtime_hours"),
+        total_or_zero("total_overtime_cost").alias("total_overtime_cost"),
         costliest["department"].alias("costliest_department"),
     ).select(
         "total_payroll",
@@ -89,8 +89,8 @@ def company_kpis(overview: DataFrame) -> DataFrame:
 def dashboard_kpis(summary: DataFrame, errors: DataFrame) -> DataFrame:
     """Payroll, hours, overtime share, number of departments and of flagged rows."""
     return summary.agg(
-        F.sum("total_gross_pay").alias("total_payroll"),
-        F.sum("total_hours").alias("total_hours"),
+        total_or_zero("total_gross_pay").alias("total_payroll"),
+        total_or_zero("total_hours").alias("total_hours"),
         ratio(F.sum("total_overtime_hours"), F.sum("total_hours"), 1, 100).alias("overtime_pct"),
         F.count(F.lit(1)).alias("departments"),
     ).withColumn("error_count", errors.agg(F.count(F.lit(1)).alias("n")).scalar())
@@ -145,7 +145,7 @@ def report_totals(logs: DataFrame) -> DataFrame:
     return logs.agg(
         F.count(F.lit(1)).alias("total_shifts"),
         F.count_distinct("employee_id").alias("total_employees"),
-        half_up(F.sum("hours_worked"), 2).alias("total_hours"),
-        half_up(F.sum("overtime_hours"), 2).alias("overtime_hours"),
-        half_up(F.sum("gross_pay"), 2).alias("total_payroll"),
+        total_or_zero("hours_worked").alias("total_hours"),
+        total_or_zero("overtime_hours").alias("overtime_hours"),
+        total_or_zero("gross_pay").alias("total_payroll"),
     )

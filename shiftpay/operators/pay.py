@@ -7,7 +7,14 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shiftpay import schemas
-from shiftpay.functions.columns import half_up, mean, micros_between, total, week_of
+from shiftpay.functions.columns import (
+    half_up,
+    mean,
+    micros_between,
+    total,
+    total_or_zero,
+    week_of,
+)
 
 # Hours of a shift before overtime starts, and the overtime factor.
 STANDARD_HOURS = Decimal("8")
@@ -92,9 +99,9 @@ def run_totals(logs: DataFrame) -> DataFrame:
     """Rows, hours, overtime and gross pay of a run."""
     return logs.agg(
         F.count(F.lit(1)).alias("transformed_logs"),
-        total("hours_worked").alias("total_hours"),
-        total("overtime_hours").alias("total_overtime_hours"),
-        total("gross_pay").alias("total_gross_pay"),
+        total_or_zero("hours_worked").alias("total_hours"),
+        total_or_zero("overtime_hours").alias("total_overtime_hours"),
+        total_or_zero("gross_pay").alias("total_gross_pay"),
     )
 
 

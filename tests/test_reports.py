@@ -7,7 +7,7 @@ from pyspark.testing import assertDataFrameEqual
 
 from rows import by, logs, staff
 from shiftpay.functions.ranking import dense_rank_within, rank_all, tile
-from shiftpay.operators import listings, metrics, reports
+from shiftpay.operators import listings, metrics, pay, reports
 
 HOUR = 3600
 
@@ -195,6 +195,7 @@ def test_employee_pages(people):
     assert ids(department="", status="") == ids()
     assert ids(department="_") == ids()
     assert {r.total for r in listings.employees_page(people, 1, 1).collect()} == {4}
+    assert listings.matching_employees(people, "a").count() == 2
     for wrong in ({"page": 0}, {"page_size": 0}, {"page_size": 501}):
         with pytest.raises(ValueError):
             ids(**wrong)
@@ -237,8 +238,6 @@ def test_long_hours_flag(spark, people):
 
 
 def test_payroll_pages(shifts, people):
-    from shiftpay.operators import pay
-
     payroll = pay.payroll_summary(shifts)
     found = listings.payroll_page(payroll, people).collect()
     assert [r.employee_id for r in found] == ["E3", "E1", "E2"]
@@ -316,6 +315,8 @@ def test_daily_report(shifts):
 
 def test_no_shifts(shifts, people):
     none = shifts.filter("false")
+    assert metrics.report_totals(none).first().total_payroll == 0
+    assert pay.run_totals(none).first().total_hours == 0
     assert reports.department_summary(none).count() == 0
     assert reports.rank_by_hours(none, people).count() == 0
     assert metrics.company_kpis(reports.department_overview(none)).first().overtime_rate_pct == 0
