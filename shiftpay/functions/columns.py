@@ -50,12 +50,8 @@ def month_of(day: Column) -> Column:
 
 def micros_between(start: str, end: str) -> Column:
     """Length in microseconds from column ``start`` to ``end``, free of any time zone."""
-    span = f"({end} - {start})"
-    return F.expr(
-        f"""(extract(day from {span}) * 86400L + extract(hour from {span}) * 3600
-             + extract(minute from {span}) * 60) * 1000000
-            + cast(extract(second from {span}) * 1000000 as bigint)"""
-    )
+    seconds = f"cast(cast({end} - {start} as interval second) as decimal(18,6))"
+    return F.expr(f"cast({seconds} * 1000000 as bigint)")
 
 
 def full_name() -> Column:
