@@ -86,7 +86,9 @@ def load_raw(
     inserted = sinks.load_time_logs(root, logs, batch_id)
     errors = quality.validation_errors(validated, run_id, now)
     has_errors = sinks.load_errors(root, errors, batch_id)
-    summary = pay.payroll_summary(touched_logs(root, logs, batch_id))
+    # A first load has no other shifts of its weeks to look up.
+    touched = logs if seen is None else touched_logs(root, logs, batch_id)
+    summary = pay.payroll_summary(touched)
     payroll_rows = sinks.load_payroll(root, summary)
     metrics = quality.run_metrics(validated).withColumn("run_id", F.lit(run_id))
     sinks.finish_load(root, metrics, batch_id)

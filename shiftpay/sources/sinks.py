@@ -159,21 +159,29 @@ def load_payroll(root: str, summary: DataFrame) -> int:
     """Upsert payroll rows; only the weeks in ``summary`` are read and rewritten.
 
     The merged weeks are staged first: the weeks in the table are replaced from
-    finished files, never from a read of themselves.
+    finished files, never from a read of themselves. Returns the rows of those weeks.
     """
     spark = summary.sparkSession
     loaded = files.stage(fold_payroll(summary), "payroll-load")
+    if not files.exists(spark, f"{root}/payroll_summary"):
+        _replace_weeks(root, loaded)
+        return loaded.count()
     old = payroll(spark, root).filter(any_of(loaded, "week_start"))
     merged = files.stage(merge.upsert_payroll(old, loaded), "payroll")
+    _replace_weeks(root, merged)
+    return merged.count()
+
+
+def _replace_weeks(root: str, rows: DataFrame) -> None:
     (
-        merged.hint("rebalance", "week_start")
+        rows.select(*schemas.names(schemas.PAYROLL))
+        .hint("rebalance", "week_start")
         .sortWithinPartitions("week_start", "employee_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("week_start")
         .parquet(f"{root}/payroll_summary")
     )
-    return merged.count()
 
 
 def any_of(rows: DataFrame, column: str) -> Column:
