@@ -21,9 +21,15 @@ PROFILE = [
     "hire_date",
     "status",
     "email",
+    "created_at",
 ]
 
 
+def _profile(employees: DataFrame) -> list[str]:
+    """The profile columns a directory has; only stored ones know ``created_at``."""
+    return [c for c in PROFILE if c in employees.columns]
+
+
 def _contains(column: str, text: str) -> Column:
     """Case-blind containment; ``%`` and ``_`` in ``text`` act as wildcards."""
     return F.col(column).ilike(f"%{text}%")
@@ -89,7 +95,7 @@ def employees_page(
     status: str | None = None,
 ) -> DataFrame:
     """Directory page by last and first name, with the number of matching employees."""
-    rows = matching_employees(employees, department, status)
+    rows = matching_employees(employees, department, status).select(*_profile(employees))
     order = ["last_name", "first_name", "employee_id"]
     return _page(rows, rows, order, page, page_size)
 
@@ -111,7 +117,7 @@ def employee_profiles(
         total("gross_pay").alias("total_gross_pay"),
     )
     return employees.join(sums, "employee_id", "left").select(
-        *employees.columns,
+        *_profile(employees),
         F.coalesce("_shifts", F.lit(0)).alias("total_shifts"),
         "total_hours",
         "total_overtime",

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from shiftpay import schemas
 from shiftpay.operators import constraints, listings, merge, metrics, pay, quality, reports
 from shiftpay.sources import files, readers, sinks, timeclock
 from shiftpay.streaming import incremental
@@ -27,16 +28,16 @@ class Tables:
     """The frames the queries start from."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+        self.spark, self._dir = spark, sf_dir
 
     def employees(self) -> DataFrame:
-        return timeclock.employees(self._spark, self._dir)
+        return timeclock.employees(self.spark, self._dir)
 
     def raw(self) -> DataFrame:
-        return timeclock.raw_time_logs(self._spark, self._dir)
+        return timeclock.raw_time_logs(self.spark, self._dir)
 
     def _validate(self, raw: DataFrame) -> DataFrame:
-        bound = timeclock.raw_rows_at_most(self._spark, self._dir)
+        bound = timeclock.raw_rows_at_most(self.spark, self._dir)
         return quality.validate(raw, timeclock.INGEST_ORDER, rows_at_most=bound)
 
     def validated(self) -> DataFrame:
@@ -117,7 +118,7 @@ def raw_time_logs(t: Tables) -> DataFrame:
         F.col("pay_rate").cast("string").alias("pay_rate"),
         F.col("log_date").cast("string").alias("log_date"),
     )
-    return readers.parse(text, readers.schemas.RAW_LOGS)
+    return readers.parse(text, schemas.RAW_LOGS)
 
 
 def _earlier_employees(staff: DataFrame) -> DataFrame:
@@ -157,7 +158,7 @@ def upsert_payroll(t: Tables) -> DataFrame:
 @query
 def incremental_payroll(t: Tables) -> DataFrame:
     """Payroll table after two loads through the stream: even part keys, then odd."""
-    spark = t._spark
+    spark = t.spark
     folder = files.new_folder(spark, "incremental")
     raw = t.raw()
     for half in (0, 1):
@@ -174,7 +175,7 @@ def incremental_payroll(t: Tables) -> DataFrame:
 
 def _rule(name: str, reason: str) -> None:
     def build(t: Tables) -> DataFrame:
-        columns = readers.schemas.names(readers.schemas.RAW_LOGS)
+        columns = schemas.names(schemas.RAW_LOGS)
         return quality.flagged(t.validated(), reason).select(*columns, "error_reason")
 
     build.__name__ = name
@@ -191,7 +192,7 @@ _rule("val_hours", quality.BAD_HOURS)
 @query
 def validated_logs(t: Tables) -> DataFrame:
     return t.validated().select(
-        *readers.schemas.names(readers.schemas.RAW_LOGS), "error_reason"
+        *schemas.names(schemas.RAW_LOGS), "error_reason"
     )
 
 
