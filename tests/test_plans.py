@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from shiftpay.plans import registry
 from shiftpay.operators import reports
 from shiftpay.sources import sinks
 from rows import logs, staff
 
 DATA = "/root/testdata/sf0.001"
-NAMES = sorted(set(contract.queries()) - {"incremental_payroll"})
+NAMES = sorted(set(registry.queries()) - {"incremental_payroll"})
 
 
 def plan(rows) -> str:
@@ -29,7 +29,7 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_product_and_no_python(spark, no_broadcast, name):
-    text = plan(contract.queries()[name](spark, DATA))
+    text = plan(registry.queries()[name](spark, DATA))
     for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
         assert operator not in text
 
