@@ -29,7 +29,7 @@ spans AS (
 wanted AS (
   SELECT host, fetched,
     unnest(list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
-      i -> array_to_string(string_split(host, '.')[i:], '.'))) AS pattern
+      lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS pattern
   FROM (SELECT DISTINCT host, fetched FROM captures WHERE host IS NOT NULL)),
 found AS (
   SELECT w.host, w.fetched, s.pattern, s.action, s.valid_from, s.valid_to

@@ -7,7 +7,7 @@ words AS (
   SELECT id, text, place,
     list_filter(string_split_regex(
       regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'),
-      x -> x <> '') AS tokens
+      lambda x: x <> '') AS tokens
   FROM cut),
 lines AS (
   SELECT *, len(tokens) AS n, tokens[1:4] AS lead FROM words WHERE len(tokens) >= 3),
@@ -19,15 +19,15 @@ kinds AS (
   FROM texts GROUP BY n, lead, tokens),
 busy AS (SELECT n, lead FROM kinds GROUP BY n, lead HAVING count(*) > 1 AND sum(texts) >= 3),
 places AS (
-  SELECT n, lead, tokens, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS at
+  SELECT n, lead, tokens, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot
   FROM kinds SEMI JOIN busy USING (n, lead)),
-counted AS (SELECT n, lead, at, token, count(*) AS c FROM places GROUP BY ALL),
+counted AS (SELECT n, lead, spot, token, count(*) AS c FROM places GROUP BY ALL),
 template AS (
-  SELECT n, lead, at, arg_max(token, (c, token)) AS token
-  FROM counted GROUP BY n, lead, at HAVING max(c) * 2 > sum(c)),
+  SELECT n, lead, spot, arg_max(token, (c, token)) AS token
+  FROM counted GROUP BY n, lead, spot HAVING max(c) * 2 > sum(c)),
 general AS (
   SELECT p.n, p.lead, p.tokens
-  FROM places p LEFT JOIN template t ON p.n = t.n AND p.lead = t.lead AND p.at = t.at AND p.token = t.token
+  FROM places p LEFT JOIN template t ON p.n = t.n AND p.lead = t.lead AND p.spot = t.spot AND p.token = t.token
   GROUP BY ALL HAVING count(t.token) >= ceil(p.n * 0.7::DOUBLE)),
 shared AS (
   SELECT n, lead, count(*) AS texts, min(first) AS first, arg_min(text, (first, text)) AS first_text
@@ -52,7 +52,7 @@ each_row AS (
 left_over AS (
   SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(len(places), 0) AS n_dropped,
     CASE WHEN places IS NULL THEN text ELSE array_to_string(list_filter(
-      string_split(text, chr(10)), (x, i) -> NOT list_contains(places, i - 1)), chr(10)) END AS text
+      string_split(text, chr(10)), lambda x, i: NOT list_contains(places, i - 1)), chr(10)) END AS text
   FROM each_row)
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped,
   CAST(length(text) AS BIGINT) AS n_chars_left, md5(text) AS text_md5
