@@ -60,9 +60,7 @@ def sketch(
     np.minimum.at(least, at, total)
     filled[at] = True
     filled = filled.reshape(n, bins)
-    values = (least.reshape(n, bins) & np.uint64((1 << bits) - 1)).astype(np.uint8)
-    some = filled.any(axis=1)
-    values[~some] = 0
+    values, some = least.reshape(n, bins), filled.any(axis=1)
     row, hole = np.nonzero(~filled & some[:, None])
     ask = _donors(bins)
     for turn in range(bins):
@@ -72,7 +70,12 @@ def sketch(
         found = filled[row, donor]
         values[row[found], hole[found]] = values[row[found], donor[found]]
         row, hole = row[~found], hole[~found]
-    return values, some
+    # stirred with the bin's number, so that bins with one borrowed value differ by chance
+    # alone where texts differ
+    stirred = shared.mixed(values + np.arange(bins, dtype=np.uint64) * np.uint64(shared.BASE))
+    low = (stirred & np.uint64((1 << bits) - 1)).astype(np.uint8)
+    low[~some] = 0
+    return low, some
 
 
 def packed(values: np.ndarray, bits: int = BITS) -> list[bytes]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shiftpay.llm.shared import free_name
+
 #: What an entry may say; of several on one day for one pattern, the first here holds.
 ACTIONS = ("block", "allow", "remove")
 #: Copies of each verdict that hot patterns are spread over.
@@ -53,29 +55,34 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     columns of the same name.
     """
     added = ["host", "pattern", "action", "valid_from", "valid_to", "kept"]
-    rows = captures.drop(*added).withColumn("host", host_of(F.col("url")))
-    day, salt = F.to_date("fetched"), F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")
-    rows = rows.withColumns({"_day": day, "_salt": salt})
-    pairs = rows.where("host is not null and _day is not null").select("host", "_day").distinct()
+    plain = captures.drop(*added)
+    day, salt = free_name(plain, "day"), free_name(plain, "salt")
+    rows = plain.withColumn("host", host_of(F.col("url"))).withColumns(
+        {day: F.to_date("fetched"), salt: F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")}
+    )
+    pairs = rows.where(F.col("host").isNotNull() & F.col(day).isNotNull()).select("host", day).distinct()
     labels = F.split("host", r"\.")
     above = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     wanted = pairs.select(
-        "host", "_day", F.explode(above).alias("pattern"),
-        F.pmod(F.xxhash64("host"), F.lit(SALTS)).cast("int").alias("_salt"),
+        "host", day, F.explode(above).alias("pattern"),
+        F.pmod(F.xxhash64("host"), F.lit(SALTS)).cast("int").alias(salt),
     )
     active = (
-        wanted.select("pattern", "_day")
+        wanted.select("pattern", day)
         .distinct()
         .join(intervals(entries), "pattern")
-        .where("valid_from <= _day and (valid_to is null or _day < valid_to)")
+        .where(
+            (F.col("valid_from") <= F.col(day))
+            & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
+        )
     )
     spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     verdicts = (
-        wanted.join(active.withColumn("_salt", spread), ["pattern", "_day", "_salt"])
-        .groupBy("host", "_day")
+        wanted.join(active.withColumn(salt, spread), ["pattern", day, salt])
+        .groupBy("host", day)
         .agg(
             F.max_by(
                 F.struct("pattern", "action", "valid_from", "valid_to"), F.length("pattern")
@@ -83,9 +90,9 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
         )
     )
     return (
-        rows.join(verdicts.withColumn("_salt", spread), ["host", "_day", "_salt"], "left")
+        rows.join(verdicts.withColumn(salt, spread), ["host", day, salt], "left")
         .select(
-            *[F.col(f"`{c}`") for c in rows.columns if not c.startswith("_") or c in captures.columns],
+            *[F.col(f"`{c}`") for c in (*plain.columns, "host")],
             *[F.col(f"entry.{c}").alias(c) for c in added[1:5]],
         )
         .withColumn("kept", ~F.coalesce(F.col("action") == "block", F.lit(False)))

@@ -1,0 +1,71 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from shiftpay.llm import shared, sharding
+
+
+def least_capacity(sizes, shards):
+    low, high = 0, sum(sizes)
+    while low < high:
+        middle, used, at = (low + high) // 2, 1, 0
+        for s in sizes:
+            if s > middle:
+                used = shards + 1
+                break
+            if at + s > middle:
+                used, at = used + 1, 0
+            at += s
+        low, high = (low, middle) if used <= shards else (middle + 1, high)
+    return low
+
+
+def documents(n, seed):
+    draw = random.Random(seed)
+    rows = [(i, "é" * draw.randint(0, 200) + str(i)) for i in range(n)]
+    rows += [(10_000 + i, "copy " * 300) for i in range(n // 3)]
+    return rows + [(20_000, None), (20_001, ""), (None, "no id"), (5, "again"), (5, "again")]
+
+
+@pytest.mark.parametrize("n, shards", [(300, 24), (300, 5), (3, 24), (900, 2), (50, 1)])
+def test_equals_brute_force(spark, n, shards):
+    rows = documents(n, n)
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, shard int").repartition(4)
+    keys = [r.key for r in docs.select(shared.text_key().alias("key"), "doc_id", "text").collect()]
+    found = sharding.shard(docs, shards).collect()
+    assert sorted(repr((r.doc_id, r["size"], r.text_crc32)) for r in found) == sorted(
+        repr((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))) for i, t in rows
+    )
+    sizes, slots, homes = defaultdict(int), defaultdict(list), defaultdict(set)
+    for r in found:
+        assert 0 <= r.shard < shards and r.law == "bytes" and r.grown_shard is None
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+        homes[(r["size"], r.text_crc32)].add(r.shard)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(h) == 1 for h in homes.values())
+    by_key = defaultdict(int)
+    for r in docs.select(shared.text_key().alias("key"), "text").collect():
+        by_key[r.key] += len((r.text or "").encode()) + 8
+    assert len(keys) == len(rows)
+    assert max(sizes.values()) == least_capacity([by_key[k] for k in sorted(by_key)], shards)
+
+
+def test_search_with_a_coarse_first_summary(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "_FIRST_BITS", 2)
+    draw = random.Random(1)
+    rows = sorted({draw.randint(-(2**63), 2**63 - 1): draw.randint(1, 500) for _ in range(2000)}.items())
+    rows += [(rows[-1][0] + 1 + k, 300) for k in range(40)] if rows[-1][0] < 2**63 - 100 else []
+    groups = spark.createDataFrame(rows, "key long, size long")
+    capacity, keys = sharding.cut_keys(groups, 24)
+    assert capacity == least_capacity([s for _, s in rows], 24)
+    sums = defaultdict(int)
+    for key, size in rows:
+        sums[sum(key >= k for k in keys)] += size
+    assert max(sums.values()) <= capacity and len(sums) <= 24
+
+
+def test_empty_table(spark):
+    assert sharding.shard(spark.createDataFrame([], "doc_id long, text string")).count() == 0
