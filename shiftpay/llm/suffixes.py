@@ -16,8 +16,8 @@ LENGTH = 200
 #: Bytes of an anchor: of the anchors' hashes that a window holds, the least is its own.
 ANCHOR = 32
 #: Surroundings of one anchor that are sorted in one task; beyond, windows are counted.
-ANCHOR_LIMIT = 20_000
-_GROUP_BYTES = 4 << 20
+ANCHOR_LIMIT = 2000
+_GROUP_BYTES = 1 << 20
 
 
 #: Bits of an anchor's hash that count in the choice; the rest hold its place.
