@@ -346,7 +346,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ).where(F.octet_length("text") >= length)
     schema = "id long, digest long, place int, first int, windows int, gram long, around long"
     anchors = stage(shared.mapped(rows, _anchors(length, ANCHOR), schema), "anchors")
-    twice = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # written, so that runtime re-planning can split an anchor that many texts share
+    twice = stage(
+        anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams"
+    )
     anchors = stage(anchors.join(twice, "gram", "left_semi"), "repeated-anchors")
     kinds = stage(
         anchors.groupBy("gram", "around").agg(
