@@ -15,14 +15,23 @@ from shiftpay.sources import files, sinks
 
 @dataclass
 class Load:
-    """What a load produced: its frames, from staged files, and the rows per table."""
+    """What a load produced: its frames, from staged files, and the rows per table.
+
+    ``weeks`` is the payroll of every employee and week that the load touched, over all
+    stored shifts. ``discard`` deletes the staged files once the frames are done with.
+    """
 
     validated: DataFrame
     logs: DataFrame
+    weeks: DataFrame
+    folder: str
     logs_inserted: int
     payroll_rows: int
     has_errors: bool
 
+    def discard(self) -> None:
+        files.remove(self.validated.sparkSession, self.folder)
+
 
 def seen_ids(root: str, raw: DataFrame, batch_id: int) -> DataFrame | None:
     """Ids of ``raw`` that an earlier load met, clean or flagged; None before the first.
@@ -75,15 +84,33 @@ def load_raw(
     batch_id: int,
     run_id: str,
     now: datetime,
+    known_are_errors: bool = True,
+    stream: str | None = None,
+    part: int | None = None,
 ) -> Load:
     """Validate, compute pay, insert, and bring the touched payroll weeks up to date.
 
-    Running the same ``batch_id`` again gives the same tables.
+    Ids that an earlier load met are duplicates (a stream of new files), or with
+    ``known_are_errors`` off they are passed over (a batch run over a folder that grows),
+    and only repeats within the load count. Running the same ``batch_id`` again gives the
+    same tables.
     """
-    seen = seen_ids(root, raw, batch_id)
-    validated = files.stage(quality.validate(raw, ingest_order, seen), "validated")
+    spark = raw.sparkSession
+    folder = files.new_folder(spark, "load")
+    earlier = seen_ids(root, raw, batch_id)
+    seen = None if earlier is None else files.stage_in(earlier, f"{folder}/seen")
+    if seen is None or known_are_errors:
+        judged = quality.validate(raw, ingest_order, seen)
+    else:
+        known = seen.withColumnRenamed("log_id", "known_id")
+        new = raw.join(known, F.col("log_id").eqNullSafe(F.col("known_id")), "left_anti")
+        judged = quality.validate(new, ingest_order)
+    validated = files.stage_in(judged, f"{folder}/validated")
     logs = pay.transform(quality.clean_logs(validated))
-    inserted = sinks.load_time_logs(root, logs, batch_id)
+    # no id of these is in an earlier load, so nothing needs to be looked up once more
+    inserted = sinks.write_logs(
+        logs.select(*schemas.names(schemas.TIME_LOGS)), f"{root}/time_logs/batch_id={batch_id}"
+    )
     errors = quality.validation_errors(validated, run_id, now)
     has_errors = sinks.load_errors(root, errors, batch_id)
     # A first load has no other shifts of its weeks to look up.
@@ -91,10 +118,12 @@ def load_raw(
     summary = pay.payroll_summary(touched)
     payroll_rows = sinks.load_payroll(root, summary)
     metrics = quality.run_metrics(validated).withColumn("run_id", F.lit(run_id))
-    sinks.finish_load(root, metrics, batch_id)
+    sinks.finish_load(root, metrics, batch_id, stream, part)
     return Load(
         validated=validated,
         logs=logs,
+        weeks=summary,
+        folder=folder,
         logs_inserted=inserted,
         payroll_rows=payroll_rows,
         has_errors=has_errors,

@@ -18,14 +18,15 @@ def run_pipeline(
     employees: DataFrame,
     raw: DataFrame,
     ingest_order: list[str],
-    employee_order: list[str] | None = None,
+    employee_order: list[str],
     csv_export: bool = False,
     warehouse: str | None = None,
 ) -> DataFrame:
     """Process ``raw`` into the tables below ``root``; a one-row frame of run metrics.
 
-    ``warehouse`` also loads the warehouse tables there. A load that fails stops the
-    run; a failed upload is recorded in its step and in the status.
+    ``warehouse`` also loads the warehouse tables there. Ids that the tables know from
+    earlier loads are passed over. A load that fails stops the run; a failed upload is
+    recorded in its step and in the status. Seconds are given for each step.
     """
     started = datetime.now(timezone.utc)
     clock = time.monotonic()
@@ -33,44 +34,72 @@ def run_pipeline(
     batch_id = sinks.next_batch(spark, root)
     directory = [c for c in employees.columns if not c.startswith("_")]
 
-    staff = sinks.load_employees(root, employees, started, employee_order)
-    load = load_raw(root, raw, ingest_order, batch_id, run_id, started)
+    seconds = {}
 
-    summary = pay.payroll_summary(load.logs)
-    if csv_export:
+    def timed(step: str, work):
+        begin = time.monotonic()
+        found = work()
+        seconds[step] = round(time.monotonic() - begin, 2)
+        return found
+
+    staff = timed(
+        "employees", lambda: sinks.load_employees(root, employees, started, employee_order)
+    )
+    load = timed(
+        "load",
+        lambda: load_raw(
+            root, raw, ingest_order, batch_id, run_id, started, known_are_errors=False
+        ),
+    )
+
+    def export():
         sinks.write_csv(load.logs, f"{root}/export/time_logs")
-        sinks.write_csv(summary, f"{root}/export/payroll_summary")
+        sinks.write_csv(pay.payroll_summary(load.logs), f"{root}/export/payroll_summary")
         sinks.write_csv(employees.select(*directory), f"{root}/export/employees")
 
-    upload = {}
+    if csv_export:
+        timed("export", export)
+
+    upload = sinks.Upload({})
     if warehouse:
-        upload = sinks.upload_all(
-            warehouse, load.logs, summary, employees.select(*directory), batch_id
+        upload = timed(
+            "upload",
+            lambda: sinks.upload_all(
+                warehouse, load.logs, load.weeks, employees.select(*directory), batch_id
+            ),
         )
 
-    problem = upload.get("error")
-    totals = pay.run_totals(load.logs)
-    return (
-        quality.run_metrics(load.validated)
-        .select(F.struct("*").alias("validate"))
+    counts = timed(
+        "metrics",
+        lambda: quality.run_metrics(load.validated)
         .select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(started).alias("started_at"),
-            F.lit(batch_id).alias("batch_id"),
-            "validate",
-            totals.select(F.struct("*").alias("t")).scalar().alias("transform"),
-            F.struct(
-                F.lit(staff).alias("employees"),
-                F.lit(load.logs_inserted).alias("time_logs"),
-                F.lit(load.payroll_rows).alias("payroll_summary"),
-            ).alias("load"),
-            F.struct(
-                F.lit("skipped" if not warehouse else "failed" if problem else "success").alias(
-                    "status"
-                ),
-                F.lit(problem).cast("string").alias("error"),
-            ).alias("upload"),
-            F.lit(round(time.monotonic() - clock, 2)).alias("total_duration_s"),
-            F.lit("FAILED" if problem else "SUCCESS").alias("status"),
+            F.struct("*").alias("validate"),
+            pay.run_totals(load.logs).select(F.struct("*")).scalar().alias("transform"),
         )
+        .toArrow(),
+    )
+    load.discard()
+    durations = [
+        F.lit(seconds.get(s)).cast("double").alias(s)
+        for s in ("employees", "load", "export", "upload", "metrics")
+    ]
+    problem = upload.problem
+    return spark.createDataFrame(counts).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(started).alias("started_at"),
+        F.lit(batch_id).alias("batch_id"),
+        "validate",
+        "transform",
+        F.struct(
+            F.lit(staff).alias("employees"),
+            F.lit(load.logs_inserted).alias("time_logs"),
+            F.lit(load.payroll_rows).alias("payroll_summary"),
+        ).alias("load"),
+        F.struct(
+            F.lit("skipped" if not warehouse else "failed" if problem else "success").alias("status"),
+            F.lit(problem).cast("string").alias("error"),
+        ).alias("upload"),
+        F.struct(*durations).alias("duration_s"),
+        F.lit(round(time.monotonic() - clock, 2)).alias("total_duration_s"),
+        F.lit("FAILED" if problem else "SUCCESS").alias("status"),
     )

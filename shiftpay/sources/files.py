@@ -53,13 +53,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stage_in(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written once to ``path`` and read back."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def stage(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once to the scratch folder and read back.
 
     Later jobs start from the files, so a lost executor does not run the work
     before them again, and each reads only the columns it needs.
     """
-    spark = rows.sparkSession
-    path = new_folder(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return stage_in(rows, new_folder(rows.sparkSession, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that nothing reads any more."""
+    where, system = _path(spark, path)
+    system.delete(where, True)

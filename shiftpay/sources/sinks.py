@@ -8,14 +8,20 @@ Layout below a warehouse folder:
     payroll_summary/week_start=...          one row per employee and week
     loads/batch_id=K                        counts of load K, written when it is done
 
-Writing load K again replaces what load K wrote, so a repeated load changes nothing.
-A load that broke off has no row in loads and is to be repeated under its number.
+Batch runs and micro-batches of streams take their number from ``loads``, one above the
+highest finished one, so no load can replace what another one finished. The row in loads
+says which micro-batch of which stream it was; one that is played again after it finished
+is passed over. A load that broke off has no row there; the next one takes its number and
+replaces what it left, so it is to be repeated before any other.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shiftpay import schemas
@@ -142,34 +148,58 @@ def load_errors(root: str, errors: DataFrame, batch_id: int) -> bool:
     return write_errors(errors, f"{root}/validation_errors/batch_id={batch_id}")
 
 
-def finish_load(root: str, metrics: DataFrame, batch_id: int) -> None:
-    """Record that load ``batch_id`` is complete, with its counts."""
-    metrics.write.mode("overwrite").parquet(f"{root}/loads/batch_id={batch_id}")
+def finish_load(
+    root: str, metrics: DataFrame, batch_id: int, stream: str | None = None, part: int | None = None
+) -> None:
+    """Record that load ``batch_id`` is complete, with its counts and, of a micro-batch,
+    the stream and its own number there."""
+    origin = [F.lit(stream).cast("string").alias("stream"), F.lit(part).cast("long").alias("part")]
+    metrics.select("*", *origin).write.mode("overwrite").parquet(f"{root}/loads/batch_id={batch_id}")
 
 
-def next_batch(spark: SparkSession, root: str) -> int:
-    """Number for a batch run: one above the highest finished load."""
+def _finished(spark: SparkSession, root: str) -> list[int]:
     names = files.folders(spark, f"{root}/loads")
     numbers = [int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")]
-    finished = [n for n in numbers if files.finished(spark, f"{root}/loads/batch_id={n}")]
-    return max(finished, default=0) + 1
+    return sorted(n for n in numbers if files.finished(spark, f"{root}/loads/batch_id={n}"))
+
+
+def next_batch(spark: SparkSession, root: str) -> int:
+    """Number for a load: one above the highest finished one."""
+    return max(_finished(spark, root), default=0) + 1
+
+
+def was_loaded(spark: SparkSession, root: str, stream: str, part: int) -> bool:
+    """Whether this micro-batch of this stream is a finished load already."""
+    done = [f"{root}/loads/batch_id={n}" for n in _finished(spark, root)]
+    if not done:
+        return False
+    loads = spark.read.schema("stream string, part bigint").parquet(*done)
+    return not loads.filter((F.col("stream") == stream) & (F.col("part") == part)).isEmpty()
+
+
+def run_errors(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
+    """Rows flagged by one load, the last finished one by default."""
+    wanted = next_batch(spark, root) - 1 if batch_id is None else batch_id
+    return validation_errors(spark, root).filter(F.col("batch_id") == wanted)
 
 
 def load_payroll(root: str, summary: DataFrame) -> int:
     """Upsert payroll rows; only the weeks in ``summary`` are read and rewritten.
 
     The merged weeks are staged first: the weeks in the table are replaced from
-    finished files, never from a read of themselves. Returns the rows of those weeks.
+    finished files, never from a read of themselves. Returns the rows inserted or updated.
     """
     spark = summary.sparkSession
-    loaded = files.stage(fold_payroll(summary), "payroll-load")
-    if not files.exists(spark, f"{root}/payroll_summary"):
-        _replace_weeks(root, loaded)
-        return loaded.count()
-    old = payroll(spark, root).filter(any_of(loaded, "week_start"))
-    merged = files.stage(merge.upsert_payroll(old, loaded), "payroll")
+    folder = files.new_folder(spark, "payroll")
+    loaded = files.stage_in(fold_payroll(summary), f"{folder}/loaded")
+    merged = loaded
+    if files.exists(spark, f"{root}/payroll_summary"):
+        old = payroll(spark, root).filter(any_of(loaded, "week_start"))
+        merged = files.stage_in(merge.upsert_payroll(old, loaded), f"{folder}/merged")
     _replace_weeks(root, merged)
-    return merged.count()
+    rows = loaded.count()
+    files.remove(spark, folder)
+    return rows
 
 
 def _replace_weeks(root: str, rows: DataFrame) -> None:
@@ -216,19 +246,33 @@ def upload(rows: DataFrame, path: str, mode: str = APPEND) -> int:
     return write_table(without_zone(rows), path, "overwrite" if mode == TRUNCATE else "append")
 
 
-def upload_all(
-    root: str, logs: DataFrame, summary: DataFrame, directory: DataFrame, batch_id: int = 1
-) -> dict:
-    """Load the three warehouse tables; a failure is recorded under ``error``.
+@dataclass(frozen=True)
+class Upload:
+    """Rows written to each warehouse table, and what stopped the rest, if anything did."""
+
+    rows: dict[str, int]
+    problem: str | None = None
 
-    Shifts and payroll go through the idempotent loads, so loading the same rows
-    again adds none.
+
+def upload_all(
+    root: str, logs: DataFrame, payroll_weeks: DataFrame, directory: DataFrame, batch_id: int = 1
+) -> Upload:
+    """Bring the warehouse tables up to date; the first write that fails ends the upload.
+
+    ``payroll_weeks`` holds whole weeks: totals over all stored shifts of every employee
+    and week that the load touched, since they replace what the warehouse has. Shifts and
+    payroll go through the idempotent loads, so loading the same rows again adds none.
+    Errors of Spark and of the storage are reported; others are errors of the program.
     """
-    results: dict = {}
-    try:
-        results["employees"] = upload(directory, f"{root}/employees", TRUNCATE)
-        results["time_logs"] = load_time_logs(root, logs, batch_id)
-        results["payroll_summary"] = load_payroll(root, summary)
-    except Exception as problem:  # noqa: BLE001 - the caller reads the record
-        results["error"] = str(problem)
-    return results
+    steps = [
+        ("payroll_summary", lambda path: load_payroll(path, payroll_weeks)),
+        ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
+        ("employees", lambda path: upload(directory, f"{path}/employees", TRUNCATE)),
+    ]
+    written: dict[str, int] = {}
+    for table, write in steps:
+        try:
+            written[table] = write(root)
+        except (PySparkException, Py4JJavaError, OSError) as problem:
+            return Upload(written, f"{table}: {problem}")
+    return Upload(written)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shiftpay import schemas
 from shiftpay.plans.load import load_raw
+from shiftpay.sources import sinks
 from shiftpay.sources.readers import FILE_ORDER, NULL_TOKENS, parse
 
 
@@ -49,20 +50,30 @@ def run_available(
 ) -> StreamingQuery:
     """Load every file not loaded yet, then stop; the checkpoint remembers the files.
 
-    Each micro-batch is a load numbered by its batch id, so a micro-batch replayed
-    after a failure replaces what it wrote before. Ids already met are looked up in
-    the stored tables; the stream itself keeps no state that grows.
+    Each micro-batch is a load with a number of its own from the tables, which batch runs
+    share; the tables remember the stream and micro-batch it came from. One that is played
+    again after a failure replaces what it left unfinished, or is passed over if it had
+    finished. Ids already met, by any load, are looked up in the stored tables; the stream
+    itself keeps no state that grows.
 
     Without ``ingest_order`` the stream is text from ``raw_file_stream`` and rows
     arrive in file order.
     """
 
-    def load(rows: DataFrame, batch_id: int) -> None:
+    def load(rows: DataFrame, part: int) -> None:
+        spark = rows.sparkSession
+        # the id that the checkpoint keeps for this stream through all restarts
+        name = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        if sinks.was_loaded(spark, root, name, part):
+            return
+        batch_id, now = sinks.next_batch(spark, root), datetime.now(timezone.utc)
         order = ingest_order
         if order is None:
             lines = rows.withColumn("_line", F.monotonically_increasing_id())
             rows, order = parse(lines, schemas.RAW_LOGS, null_tokens), FILE_ORDER
-        load_raw(root, rows, order, batch_id, f"batch-{batch_id}", datetime.now(timezone.utc))
+        load_raw(
+            root, rows, order, batch_id, f"batch-{batch_id}", now, stream=name, part=part
+        ).discard()
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -163,7 +163,7 @@ def test_upload_modes(spark, tmp_path):
 def test_upload_records_a_failure(spark, root):
     shifts = logs(spark, {})
     broken = sinks.upload_all(root, shifts.drop("gross_pay"), pay.payroll_summary(shifts), staff(spark, {}))
-    assert broken["employees"] == 1 and "gross_pay" in broken["error"]
+    assert broken.rows == {"payroll_summary": 1} and "gross_pay" in broken.problem
 
 
 # --- whole runs ----------------------------------------------------------------
@@ -235,7 +235,7 @@ def test_pipeline(spark, tmp_path):
     root, warehouse = str(tmp_path / "t"), str(tmp_path / "w")
     people = staff(spark, {}, {})
     row = run_pipeline(
-        spark, root, people, _raw(spark), ["n"], csv_export=True, warehouse=warehouse
+        spark, root, people, _raw(spark), ["n"], ["employee_id"], csv_export=True, warehouse=warehouse
     ).first()
     assert (row.status, row.upload.status, row.batch_id) == ("SUCCESS", "success", 1)
     assert (row.validate.records_in, row.validate.clean_records) == (11, 5)
@@ -245,7 +245,7 @@ def test_pipeline(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{root}/export/time_logs").count() == 5
     assert sinks.next_batch(spark, root) == 2
 
-    again = run_pipeline(spark, root, people, _raw(spark), ["n"]).first()
+    again = run_pipeline(spark, root, people, _raw(spark), ["n"], ["employee_id"]).first()
     assert (again.batch_id, again.load.time_logs, again.upload.status) == (2, 0, "skipped")
     assert sinks.time_logs(spark, root).count() == 5
 
@@ -253,7 +253,7 @@ def test_pipeline(spark, tmp_path):
 def test_a_run_that_broke_off_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
     whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
     people = staff(spark, {}, {})
-    run_pipeline(spark, whole, people, _raw(spark), ["n"])
+    run_pipeline(spark, whole, people, _raw(spark), ["n"], ["employee_id"])
 
     def fail(*_):
         raise RuntimeError("lost")
@@ -261,9 +261,9 @@ def test_a_run_that_broke_off_is_made_good_by_the_next(spark, tmp_path, monkeypa
     with monkeypatch.context() as patch:
         patch.setattr(load.sinks, "load_payroll", fail)
         with pytest.raises(RuntimeError):
-            run_pipeline(spark, broken, people, _raw(spark), ["n"])
+            run_pipeline(spark, broken, people, _raw(spark), ["n"], ["employee_id"])
     assert sinks.time_logs(spark, broken).count() == 5
-    again = run_pipeline(spark, broken, people, _raw(spark), ["n"]).first()
+    again = run_pipeline(spark, broken, people, _raw(spark), ["n"], ["employee_id"]).first()
     assert (again.batch_id, again.load.time_logs) == (1, 5)
     _same(_tables(spark, whole), _tables(spark, broken))
 
@@ -295,3 +295,88 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     _same(_tables(spark, batch), _tables(spark, root))
     assert run().lastProgress is None or run().lastProgress["numInputRows"] == 0
     _same(_tables(spark, batch), _tables(spark, root))
+
+
+def _stored_ids(spark, root):
+    return sorted(r.log_id for r in sinks.time_logs(spark, root).collect())
+
+
+def _batch_and_stream_loads(spark, tmp_path):
+    source, root = str(tmp_path / "raw"), str(tmp_path / "mixed")
+    people, typed = staff(spark, {}, {}), raw(spark, {})
+    run_pipeline(
+        spark, root, people, raw(spark, {"log_id": "A1"}, {"log_id": "A2"}, {"log_id": "A3"}),
+        ["n"], ["employee_id"],
+    ).collect()
+
+    def follow(checkpoint, *ids):
+        if ids:
+            raw(spark, *[{"log_id": i} for i in ids]).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.table_stream(spark, source, typed.schema)
+        incremental.run_available(stream, root, checkpoint, ["n"]).awaitTermination()
+
+    return root, people, follow
+
+
+def test_batch_runs_and_streams_share_a_folder(spark, tmp_path):
+    root, people, follow = _batch_and_stream_loads(spark, tmp_path)
+    first, second = str(tmp_path / "c1"), str(tmp_path / "c2")
+    follow(first, "A1", "B2")
+    assert _stored_ids(spark, root) == ["A1", "A2", "A3", "B2"]
+    follow(first, "C1")
+    assert _stored_ids(spark, root) == ["A1", "A2", "A3", "B2", "C1"]
+    flagged = sinks.validation_errors(spark, root).count()
+    follow(second)  # a new stream over the same files: nothing but duplicates
+    assert _stored_ids(spark, root) == ["A1", "A2", "A3", "B2", "C1"]
+    assert sinks.validation_errors(spark, root).count() == flagged + 3
+    assert sinks.run_errors(spark, root).count() == 3
+    run_pipeline(spark, root, people, raw(spark, {"log_id": "D1"}), ["n"], ["employee_id"]).collect()
+    assert _stored_ids(spark, root) == ["A1", "A2", "A3", "B2", "C1", "D1"]
+    assert sinks.next_batch(spark, root) == 6
+
+
+def test_a_finished_micro_batch_is_passed_over(spark, tmp_path, monkeypatch):
+    root, _, follow = _batch_and_stream_loads(spark, tmp_path)
+    follow(str(tmp_path / "c1"), "B1")
+    name = spark.read.json(f"{tmp_path}/c1/metadata").first()["id"]
+    assert sinks.was_loaded(spark, root, name, 0)
+    assert not sinks.was_loaded(spark, root, name, 1)
+    assert not sinks.was_loaded(spark, root, "another", 0)
+    assert not sinks.was_loaded(spark, str(tmp_path / "nowhere"), name, 0)
+
+
+def test_warehouse_weeks_hold_all_stored_shifts(spark, tmp_path):
+    root, warehouse = str(tmp_path / "t"), str(tmp_path / "w")
+    people = staff(spark, {}, {})
+    days = [datetime(2024, 1, d, 8) for d in (1, 2)]
+    for number, day in enumerate(days):
+        shift = {"log_id": f"L{number}", "clock_in": day, "clock_out": day.replace(hour=16), "log_date": day.date()}
+        row = run_pipeline(
+            spark, root, people, raw(spark, shift), ["n"], ["employee_id"], warehouse=warehouse
+        ).first()
+        assert row.upload.status == "success" and row.duration_s.upload > 0
+    assertDataFrameEqual(sinks.payroll(spark, warehouse), sinks.payroll(spark, root))
+    (week,) = sinks.payroll(spark, warehouse).collect()
+    assert (week.num_shifts, float(week.total_hours)) == (2, 16.0)
+
+
+def test_a_run_over_a_growing_folder_flags_new_faults_only(spark, tmp_path):
+    root, people = str(tmp_path / "t"), staff(spark, {}, {})
+    rows = [{"log_id": "A"}, {"log_id": "B", "clock_out": None}, {"log_id": "C"}, {"log_id": "C"}]
+    stored, flagged, last = [], [], []
+    for n in (2, 3, 4, 4):
+        run_pipeline(spark, root, people, raw(spark, *rows[:n]), ["n"], ["employee_id"]).collect()
+        stored.append(sinks.time_logs(spark, root).count())
+        flagged.append(sinks.validation_errors(spark, root).count())
+        last.append(sinks.run_errors(spark, root).count())
+    assert (stored, flagged, last) == ([1, 2, 2, 2], [1, 1, 1, 1], [1, 0, 0, 0])
+
+
+def test_staged_files_are_deleted(spark, tmp_path):
+    folder = files.scratch_folder(spark)
+    before = set(files.folders(spark, folder))
+    run_pipeline(
+        spark, str(tmp_path / "t"), staff(spark, {}, {}), _raw(spark), ["n"], ["employee_id"],
+        warehouse=str(tmp_path / "w"),
+    ).collect()
+    assert set(files.folders(spark, folder)) == before
