@@ -43,6 +43,7 @@ numbered AS (
          row_number() OVER (PARTITION BY log_id ORDER BY clock_in, k1, k2, k3, k4, k5) AS nth,
          row_number() OVER (PARTITION BY log_id, k1 % 2 ORDER BY clock_in, k1, k2, k3, k4, k5) AS nth_in_half,
          row_number() OVER (PARTITION BY log_id ORDER BY k1 % 2, clock_in, k1, k2, k3, k4, k5) AS nth_arrival,
+         row_number() OVER (PARTITION BY log_id ORDER BY k1 % 3, clock_in, k1, k2, k3, k4, k5) AS nth_third,
          date_diff('second', clock_in, clock_out) AS sec
   FROM raw_logs
 ),

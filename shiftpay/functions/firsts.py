@@ -2,111 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shiftpay.functions.columns import null_safe
-from shiftpay.functions.skew import HOT_ROWS, HOT_SHARE, full_buckets, hot_keys
-
-_CHUNK = 100_000
-
-
-def mark_repeats(
-    rows: DataFrame,
-    key: str,
-    order_by: list[str],
-    flag: str,
-    rows_at_most: int | None = None,
-    min_rows: int = HOT_ROWS,
-    share: float = HOT_SHARE,
-) -> DataFrame:
+def mark_repeats(rows: DataFrame, key: str, order_by: list[str], flag: str) -> DataFrame:
     """Add the boolean ``flag``: false on the first row of each key, true on the others.
 
     First is by ``order_by``, which must tell rows of a key apart unless they are
     equal in every column. Null keys form one group.
 
-    Ordinary keys take one shuffle and a row number. A count per hash bucket of the
-    key, run beforehand, tells whether any key holds too many rows for that. Such
-    hot keys never meet in one task: their first row comes from a map-side combined
-    minimum (at most 1 / ``share`` rows, so it can be broadcast) and every row is
-    compared with it where it lies. ``rows_at_most`` bounds the input, if known: no
-    key of an input within ``min_rows`` is hot, and the count is not run.
+    One plan for every size and any skew, and no job beforehand. Rows are numbered twice:
+    first among the rows of their key that were read by the same task, then the first of
+    each task among those of their key. So a key that holds a third of all rows is as many
+    rows in the second step as it had tasks reading it, and no task gets more of it than
+    it read; rows already known as repeats go by groups of their own.
     """
-    if rows_at_most is not None and rows_at_most <= min_rows:
-        return _mark_ordinary(rows, key, order_by, flag)
-    buckets = full_buckets(rows, key, min_rows, share)
-    if buckets is None:
-        return _mark_ordinary(rows, key, order_by, flag)
-
-    hot = hot_keys(rows, key, buckets).withColumnRenamed(key, "_hot")
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    ordinary = rows.join(F.broadcast(hot), is_hot, "left_anti")
-    crowded = rows.join(F.broadcast(hot), is_hot, "left_semi")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _mark_ordinary(ordinary, key, order_by, flag),
-            *_mark_crowded(crowded, key, order_by, flag),
-        ],
-    )
-
-
-def _mark_ordinary(rows: DataFrame, key: str, order_by: list[str], flag: str) -> DataFrame:
     # The hash adds nothing to the grouping. It leads the sort, where eight bytes of it
     # tell most rows apart; ids that start alike would be compared in full.
-    in_group = Window.partitionBy(F.xxhash64(key), key).orderBy(*order_by)
-    return rows.withColumn(flag, F.row_number().over(in_group) > 1)
-
-
-def _mark_crowded(
-    rows: DataFrame, key: str, order_by: list[str], flag: str
-) -> list[DataFrame]:
-    columns = rows.columns
-    whole = F.struct(*order_by, *[c for c in columns if c not in order_by and c != key])
-    firsts = rows.groupBy(key).agg(F.min(whole).alias("_first"))
-    marked = (
-        rows.withColumn("_row", whole)
-        .alias("r")
-        .join(
-            F.broadcast(firsts.alias("f")),
-            null_safe(_Side("r"), _Side("f"), [key]),
-        )
-        .select("r.*", "f._first")
+    id_ = [F.xxhash64(key), F.col(key)]
+    in_task = Window.partitionBy("_task", *id_).orderBy(*order_by)
+    # null for the first of a task, so that these meet; others stay with their own task
+    apart = F.when(F.col("_nth") > 1, F.col("_task"))
+    overall = Window.partitionBy(*id_, apart).orderBy(*order_by)
+    return (
+        rows.withColumn("_task", F.spark_partition_id())
+        .withColumn("_nth", F.row_number().over(in_task))
+        .withColumn(flag, (F.row_number().over(overall) > 1) | (F.col("_nth") > 1))
+        .drop("_task", "_nth")
     )
-    same = F.col("_row").eqNullSafe(F.col("_first"))
-
-    later = marked.filter(~same).select(*columns, F.lit(True).alias(flag))
-    first = firsts.select(
-        *[F.col(key) if c == key else F.col(f"_first.{c}").alias(c) for c in columns],
-        F.lit(False).alias(flag),
-    )
-    # Rows equal to the first in every column cannot be told apart, so they are
-    # counted and written out again, one fewer than there were.
-    copies = (
-        marked.filter(same)
-        .groupBy(*columns)
-        .agg((F.count(F.lit(1)) - 1).alias("_copies"))
-        .filter("_copies > 0")
-    )
-    return [later, first, _repeat(copies, "_copies").withColumn(flag, F.lit(True))]
-
-
-def _repeat(rows: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` over, in chunks spread over the cluster by their content."""
-    chunks = F.sequence(F.lit(0), F.expr(f"({times} - 1) div {_CHUNK}"))
-    spread = rows.withColumn("_chunk", F.explode(chunks)).repartition(*rows.columns, "_chunk")
-    left = F.col(times) - F.col("_chunk") * _CHUNK
-    return spread.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(_CHUNK))))
-    ).drop("_copy", "_chunk", times)
-
-
-class _Side:
-    """Column lookup by alias, for conditions over two sides with equal names."""
-
-    def __init__(self, alias: str):
-        self._alias = alias
-
-    def __getitem__(self, name: str) -> Column:
-        return F.col(f"{self._alias}.{name}")

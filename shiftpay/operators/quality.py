@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shiftpay import schemas
 from shiftpay.functions.columns import COUNT, micros_between, ratio
 from shiftpay.functions.firsts import mark_repeats
-from shiftpay.functions.skew import HOT_ROWS, HOT_SHARE
 
 # Reason names in rule order, and the accepted shift length in hours.
 DUPLICATE = "DUPLICATE_RECORD"
@@ -62,42 +61,27 @@ def reason(is_duplicate: Column) -> Column:
 
 
 def validate(
-    raw: DataFrame,
-    ingest_order: list[str],
-    seen: DataFrame | None = None,
-    rows_at_most: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    raw: DataFrame, ingest_order: list[str], seen: DataFrame | None = None
 ) -> DataFrame:
     """Raw shifts with ``error_reason``; a row is a duplicate when its log_id came before.
 
     ``ingest_order`` names the columns that define which row came first. ``seen``
     (one column, log_id, no repeats) lists ids of earlier loads, clean or flagged.
-    ``rows_at_most``, where the caller knows a bound, saves the count for hot keys
-    when the whole input is no larger than one task may sort.
 
     The reason is computed after the duplicate test, so a filter on it stays above
     the window: a repeat of an invalid row must be reported as a duplicate.
     """
     if seen is None:
-        marked = mark_repeats(
-            raw, "log_id", ingest_order, _REPEAT, rows_at_most, hot_rows, hot_share
-        )
+        marked = mark_repeats(raw, "log_id", ingest_order, _REPEAT)
     else:
-        # Seen ids go in ahead of the raw rows and are taken out again, so one
-        # shuffle serves both tests.
+        # Seen ids go in ahead of the raw rows and are taken out again, so the same
+        # shuffles serve both tests.
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema if f.name != "log_id"]
         rows = raw.withColumn(_NEW, F.lit(True)).unionByName(
             seen.select("log_id", *empty, F.lit(False).alias(_NEW))
         )
-        bound = None if rows_at_most is None else rows_at_most + 1
-        marked = (
-            mark_repeats(
-                rows, "log_id", [_NEW, *ingest_order], _REPEAT, bound, hot_rows, hot_share
-            )
-            .filter(_NEW)
-            .drop(_NEW)
-        )
+        marked = mark_repeats(rows, "log_id", [_NEW, *ingest_order], _REPEAT)
+        marked = marked.filter(_NEW).drop(_NEW)
     return marked.withColumn("error_reason", reason(F.col(_REPEAT))).drop(_REPEAT)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shiftpay import schemas
 from shiftpay.operators import constraints, listings, merge, metrics, pay, quality, reports
+from shiftpay.plans.load import load_raw
+from shiftpay.plans.pipeline import run_pipeline
 from shiftpay.sources import files, readers, sinks, timeclock
 from shiftpay.streaming import incremental
 
@@ -37,8 +39,7 @@ class Tables:
         return timeclock.raw_time_logs(self.spark, self._dir)
 
     def _validate(self, raw: DataFrame) -> DataFrame:
-        bound = timeclock.raw_rows_at_most(self.spark, self._dir)
-        return quality.validate(raw, timeclock.INGEST_ORDER, rows_at_most=bound)
+        return quality.validate(raw, timeclock.INGEST_ORDER)
 
     def validated(self) -> DataFrame:
         return self._validate(self.raw())
@@ -170,6 +171,63 @@ def incremental_payroll(t: Tables) -> DataFrame:
     return sinks.payroll(spark, f"{folder}/tables")
 
 
+@query
+def mixed_loads(t: Tables) -> DataFrame:
+    """Stored shifts after a batch run, two loads of a stream, and a new stream that plays
+    all files of the first one again."""
+    spark, raw = t.spark, t.raw()
+    folder = files.new_folder(spark, "mixed")
+    tables = f"{folder}/tables"
+
+    def follow(progress: str) -> None:
+        stream = incremental.table_stream(spark, f"{folder}/raw", raw.schema)
+        incremental.run_available(
+            stream, tables, f"{folder}/{progress}", timeclock.INGEST_ORDER
+        ).awaitTermination()
+
+    load_raw(
+        tables, raw.filter("k1 % 3 = 0"), timeclock.INGEST_ORDER, sinks.next_batch(spark, tables),
+        "run", _NOW, known_are_errors=False,
+    ).discard()
+    for part in (1, 2):
+        raw.filter(F.col("k1") % 3 == part).write.mode("append").parquet(f"{folder}/raw")
+        follow("progress")
+    follow("again")
+    return sinks.time_logs(spark, tables).select(*schemas.names(schemas.TIME_LOGS))
+
+
+def _two_runs(t: Tables, first: DataFrame, second: DataFrame) -> tuple[str, str]:
+    """Folders of the tables and of the warehouse after two batch runs."""
+    folder = files.new_folder(t.spark, "runs")
+    tables, warehouse = f"{folder}/tables", f"{folder}/warehouse"
+    for raw in (first, second):
+        run_pipeline(
+            t.spark, tables, t.employees(), raw, timeclock.INGEST_ORDER, ["employee_id"],
+            warehouse=warehouse,
+        )
+    return tables, warehouse
+
+
+@query
+def warehouse_payroll(t: Tables) -> DataFrame:
+    """Payroll of the warehouse after two runs, the later shifts of many weeks second."""
+    raw = t.raw()
+    _, warehouse = _two_runs(t, raw.filter("k1 % 2 = 0"), raw.filter("k1 % 2 = 1"))
+    return sinks.payroll(t.spark, warehouse)
+
+
+@query
+def rerun_errors(t: Tables) -> DataFrame:
+    """Stored errors by run and reason after two runs over a folder that grew."""
+    raw = t.raw()
+    tables, _ = _two_runs(t, raw.filter("k1 % 2 = 0"), raw)
+    return (
+        sinks.validation_errors(t.spark, tables)
+        .groupBy("batch_id", "error_reason")
+        .agg(F.count("*").alias("errors"))
+    )
+
+
 # --- quality -------------------------------------------------------------------
 
 
@@ -196,6 +254,15 @@ def validated_logs(t: Tables) -> DataFrame:
     )
 
 
+@query
+def skewed_validation(t: Tables) -> DataFrame:
+    """Validation with a third of all shifts under one id, and many without any."""
+    id_ = F.when(F.col("k1") % 3 == 0, "LOG000000000").when(F.col("k1") % 7 != 1, F.col("log_id"))
+    return quality.validate(t.raw().withColumn("log_id", id_), timeclock.INGEST_ORDER).select(
+        *schemas.names(schemas.RAW_LOGS), "error_reason"
+    )
+
+
 @query
 def clean_logs(t: Tables) -> DataFrame:
     return t.clean()

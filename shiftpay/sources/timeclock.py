@@ -72,18 +72,10 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their log_id.
-
-    A table too small to be read by as many tasks as there are cores is spread
-    first, by the key that the duplicate test groups by; that test then needs no
-    shuffle of its own. A large table is not moved here.
-    """
-    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+    """Line items with their log_id."""
+    return _table(spark, sf_dir, "lineitem").selectExpr(
         f"{_numbered('LOG', '(l_orderkey * 10 + l_linenumber)', 9)} as log_id", "*"
     )
-    if lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        lines = lines.repartition("log_id")
-    return lines
 
 
 def raw_time_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +123,3 @@ def raw_time_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_quantity as k5",
         )
     )
-
-
-def raw_rows_at_most(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on the raw shifts, from the Parquet footers of the line items."""
-    return _table(spark, sf_dir, "lineitem").count()

@@ -67,11 +67,10 @@ def _pay(row: dict) -> tuple[Decimal, Decimal, Decimal]:
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_validation_and_pay(spark, seed, hot_rows):
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_validation_and_pay(spark, seed, tasks):
     rows = _random_rows(seed)
-    options = {} if hot_rows is None else {"hot_rows": hot_rows, "hot_share": 0.001}
-    validated = quality.validate(raw(spark, *rows).repartition(3), ["n"], **options)
+    validated = quality.validate(raw(spark, *rows).repartition(tasks), ["n"])
     expected = _expected(rows)
     assert {r.n: r.error_reason for r in validated.collect()} == expected
 

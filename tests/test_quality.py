@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from rows import START, by, raw
+from shiftpay.functions.firsts import mark_repeats
 from shiftpay.operators import constraints, quality
 from shiftpay.operators.quality import REASONS
 
@@ -80,13 +81,12 @@ def test_ids_seen_before_are_duplicates(spark):
     }
 
 
-def test_seen_ids_of_hot_keys(spark):
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_seen_ids_of_hot_keys(spark, tasks):
     rows = raw(spark, *[{"log_id": "X"}] * 30, *[{"log_id": "Y"}] * 30, {"log_id": None})
     seen = spark.createDataFrame([("X",), ("Z",)], "log_id string")
-    plain = quality.validate(rows, ["n"], seen)
-    split = quality.validate(rows, ["n"], seen, hot_rows=10, hot_share=0.01)
-    assertDataFrameEqual(split.select(plain.columns), plain)
-    counts = Counter((r.log_id, r.error_reason) for r in split.collect())
+    found = quality.validate(rows.repartition(tasks), ["n"], seen)
+    counts = Counter((r.log_id, r.error_reason) for r in found.collect())
     assert counts == {
         ("X", "DUPLICATE_RECORD"): 30,
         ("Y", None): 1,
@@ -95,7 +95,8 @@ def test_seen_ids_of_hot_keys(spark):
     }
 
 
-def test_hot_ids_give_the_same_rows_as_the_plain_way(spark):
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_hot_ids_and_equal_rows(spark, tasks):
     same = {"log_id": "HOT", "n": 7}
     rows = raw(
         spark,
@@ -105,28 +106,19 @@ def test_hot_ids_give_the_same_rows_as_the_plain_way(spark):
         *[{"log_id": f"L{i}", "n": i} for i in range(20)],
         {"log_id": "L1", "n": 50},
     )
-    plain = quality.validate(rows, ["n"])
-    split = quality.validate(rows, ["n"], hot_rows=10, hot_share=0.01)
-    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in plain._jdf.queryExecution().optimizedPlan().toString()
-    assertDataFrameEqual(split.select(plain.columns), plain)
-    assert Counter(r.error_reason for r in split.collect())["DUPLICATE_RECORD"] == 44 + 29 + 1
-
-
-def test_copies_beyond_one_chunk_are_all_kept(spark, monkeypatch):
-    from shiftpay.functions import firsts
-
-    monkeypatch.setattr(firsts, "_CHUNK", 3)
-    rows = raw(spark, *[{"log_id": "HOT", "n": 1}] * 11)
-    found = quality.validate(rows, ["n"], hot_rows=2, hot_share=0.01)
-    counts = Counter(r.error_reason for r in found.collect())
-    assert counts == {None: 1, "DUPLICATE_RECORD": 10}
-
-
-def test_known_bound_skips_the_count(spark):
-    rows = raw(spark, {"log_id": "X"}, {"log_id": "X"})
-    found = quality.validate(rows, ["n"], rows_at_most=2, hot_rows=2, hot_share=0.0)
-    assert by(found, "n", "error_reason") == {0: None, 1: "DUPLICATE_RECORD"}
+    found = quality.validate(rows.repartition(tasks), ["n"]).collect()
+    assert len(found) == 96
+    first = {(r.log_id, r.n) for r in found if r.error_reason is None}
+    assert first == {("HOT", 7), (None, 0), *((f"L{i}", i) for i in range(20))}
+    assert Counter(r.error_reason for r in found)["DUPLICATE_RECORD"] == 44 + 29 + 1
+
+
+def test_no_task_gets_more_of_a_key_than_it_read(spark):
+    rows = raw(spark, *[{"log_id": "HOT"}] * 700, *[{"log_id": f"L{i}"} for i in range(1400)])
+    marked = mark_repeats(rows.repartition(50), "log_id", ["n"], "again")
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "windowspecdefinition" in x]
+    assert len(windows) == 2 and "[_task" in windows[1]
 
 
 def test_split_keeps_every_row(spark):
