@@ -1,27 +1,36 @@
-"""Company-wide ranks without sorting all rows in one task.
+"""Places and ranks over all rows without sorting all rows in one task.
 
-A plain rank over everything has no partition key, so Spark would send every row to
-one task. Here values are cut into ordered buckets whose number has a fixed bound;
-the rows of higher buckets are only counted, and only a bucket is sorted at a time.
+A plain rank over everything has no partition key, so Spark would send every row to one
+task. Here the rows are sorted once by ranges and written, each with its place within its
+sort partition; partitions are counted, and the sums over earlier ones give every row its
+place in the whole order. Rows of one value may lie in any number of partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Leading digits kept by a bucket: 10,000 buckets below 10,000 and 9,000 for each
-# further power of ten, so at most about 150,000 for any bigint.
-_DIGITS = 4
-# Leading characters of the tie-break key that keep tied rows apart.
-_KEY_PREFIX = 7
+from shiftpay.sources.files import stage
 
 
-def _value_bucket(value: Column) -> Column:
-    """``value`` (0 or more) rounded down to four digits; keeps the order of values."""
-    whole = F.floor(value).cast("bigint")
-    dropped = F.greatest(F.length(whole.cast("string")) - _DIGITS, F.lit(0))
-    unit = F.pow(F.lit(10.0), dropped).cast("bigint")
-    return whole - F.pmod(whole, unit)
+def with_position(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """``rows`` with their place from 1 in the total order ``order``."""
+    place = F.monotonically_increasing_id()  # the sort partition above the row within
+    staged = stage(rows.orderBy(*order).withColumn("_place", place), "sorted").withColumns(
+        {"_piece": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND((1 << 33) - 1)}
+    )
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (
+        staged.groupBy("_piece")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    # one row for each sort partition
+    return (
+        staged.join(F.broadcast(pieces), "_piece")
+        .withColumn(name, F.col("_before") + F.col("_row") + 1)
+        .select(*rows.columns, name)
+    )
 
 
 def rank_all(rows: DataFrame, value: str, key: str) -> DataFrame:
@@ -30,88 +39,24 @@ def rank_all(rows: DataFrame, value: str, key: str) -> DataFrame:
     Ranks run from the largest ``value`` down; ``position`` breaks ties by ``key``,
     which must be unique.
     """
-    part = F.substring(key, 1, _KEY_PREFIX).alias("_part")
-    pieces = (
-        rows.groupBy(value, part)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", _value_bucket(F.col(value)))
-    )
-
-    higher = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    buckets = (
-        pieces.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_rows"))
-        .select(
-            "_bucket",
-            F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_above"),
-            F.sum("_rows").over(everything).alias("total_rows"),
-        )
-    )
-
-    by_value = Window.partitionBy("_bucket").orderBy(F.desc(value))
-    up_to_value = by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same_value = Window.partitionBy("_bucket", value)
-    before = (
-        Window.partitionBy("_bucket")
-        .orderBy(F.desc(value), "_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = pieces.join(F.broadcast(buckets), "_bucket").select(
-        value,
-        "_part",
-        "total_rows",
-        (F.col("_above") + F.sum("_n").over(up_to_value) - F.sum("_n").over(same_value)).alias(
-            "_ahead"
-        ),
-        (F.col("_above") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"),
-    )
-
-    in_piece = Window.partitionBy(value, "_part").orderBy(key)
-    return (
-        rows.withColumn("_part", part)
-        .join(placed, [value, "_part"])
-        .withColumn("company_rank", F.col("_ahead") + 1)
-        .withColumn("position", F.col("_before") + F.row_number().over(in_piece))
-        .drop("_part", "_ahead", "_before")
-    )
+    placed = with_position(rows, [F.desc(value), key], "position")
+    firsts = placed.groupBy(value).agg(F.min("position").alias("company_rank"))
+    count = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return placed.join(firsts, value).withColumn("total_rows", count)
 
 
-def dense_rank_within(rows: DataFrame, group: str, value: str, key: str) -> DataFrame:
+def dense_rank_within(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Add ``dept_rank``: the dense rank of ``value``, largest first, within ``group``.
 
-    Only distinct values are ranked, a bucket of a group at a time.
+    Only distinct values are sorted.
     """
-    part = F.substring(key, 1, _KEY_PREFIX).alias("_part")
-    values = (
-        rows.select(group, value, part)
-        .distinct()
-        .withColumn("_bucket", _value_bucket(F.col(value)))
-        .withColumn(
-            "_in_bucket",
-            F.dense_rank().over(Window.partitionBy(group, "_bucket").orderBy(F.desc(value))),
-        )
-    )
-    higher = (
-        Window.partitionBy(group)
-        .orderBy(F.desc("_bucket"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    buckets = (
-        values.groupBy(group, "_bucket")
-        .agg(F.max("_in_bucket").alias("_values"))
-        .select(
-            group,
-            "_bucket",
-            F.coalesce(F.sum("_values").over(higher), F.lit(0)).alias("_above"),
-        )
-    )
-    ranked = values.join(buckets, [group, "_bucket"]).select(
-        group, value, "_part", (F.col("_above") + F.col("_in_bucket")).alias("dept_rank")
-    )
-    return (
-        rows.withColumn("_part", part).join(ranked, [group, value, "_part"]).drop("_part")
+    values = rows.select(group, value).distinct()
+    placed = with_position(values, [group, F.desc(value)], "_at")
+    firsts = placed.groupBy(group).agg(F.min("_at").alias("_first"))
+    ranked = placed.join(firsts, group).select(
+        group, value, (F.col("_at") - F.col("_first") + 1).alias("dept_rank")
     )
+    return rows.join(ranked, [group, value])
 
 
 def tile(position: Column, total_rows: Column, tiles: int) -> Column:

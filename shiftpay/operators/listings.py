@@ -6,23 +6,12 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shiftpay import schemas
 from shiftpay.functions.columns import full_name, half_up, total
-from shiftpay.sources import files
+from shiftpay.functions.ranking import with_position
 
-# Rows before a page up to which a top list per task is cheap.
-SHALLOW = 1_000_000
-
-PROFILE = [
-    "employee_id",
-    "first_name",
-    "last_name",
-    "department",
-    "pay_rate",
-    "hire_date",
-    "status",
-    "email",
-    "created_at",
-]
+# A profile is the directory row, and when it was created if the directory knows.
+PROFILE = [*schemas.names(schemas.EMPLOYEES), "created_at"]
 
 
 def _profile(employees: DataFrame) -> list[str]:
@@ -36,43 +25,27 @@ def _contains(column: str, text: str) -> Column:
 
 
 def _page(rows: DataFrame, counted: DataFrame, order: list, page: int, size: int) -> DataFrame:
-    """One page in a total order, every row with the total row count of ``counted``."""
+    """One page in a total order, every row with the total row count of ``counted``.
+
+    The first page is a top list of at most ``size`` rows a task. Any other page, near or
+    far, is cut from the sorted rows by position: an offset would carry all rows before the
+    page into one task.
+    """
     if page < 1:
         raise ValueError("page must be 1 or more")
     if not 1 <= size <= 500:
         raise ValueError("page_size must be within 1..500")
     count = counted.agg(F.count(F.lit(1)).alias("total")).scalar()
     start = (page - 1) * size
-    chosen = rows.orderBy(*order)
-    if start > SHALLOW:
-        return _slice(chosen, start, size).orderBy(*order).withColumn("total", count)
-    if start:
-        chosen = chosen.offset(start)
-    return chosen.limit(size).withColumn("total", count)
-
-
-def _slice(ordered: DataFrame, start: int, size: int) -> DataFrame:
-    """Rows ``start`` to ``start + size`` of a sorted frame, however far down.
-
-    An offset would carry all rows before the page into one task. Here the sorted
-    rows are staged with their place within their sort partition; the partitions are
-    counted, and only the rows of the page are taken.
-    """
-    place = F.monotonically_increasing_id()
-    staged = files.stage(ordered.withColumn("_place", place), "page").withColumns(
-        {"_piece": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND((1 << 33) - 1)}
-    )
-    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = (
-        staged.groupBy("_piece")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    at = F.col("_before") + F.col("_row")
+    if not start:
+        return rows.orderBy(*order).limit(size).withColumn("total", count)
+    at = F.col("_at")
     return (
-        staged.join(F.broadcast(pieces), "_piece")
-        .filter((at >= start) & (at < start + size))
-        .select(*ordered.columns)
+        with_position(rows, order, "_at")
+        .filter((at > start) & (at <= start + size))
+        .orderBy(at)
+        .drop("_at")
+        .withColumn("total", count)
     )
 
 

@@ -94,13 +94,10 @@ def cost_by_month(logs: DataFrame) -> DataFrame:
 def rank_by_hours(logs: DataFrame, employees: DataFrame) -> DataFrame:
     """Company rank, rank within the department and quartile by exact hours."""
     hours = logs.groupBy("employee_id").agg(F.sum("hours_worked").alias("hours"))
-    rows = hours.join(employees.select("employee_id", "department"), "employee_id")
-    in_company = rank_all(rows.select("employee_id", "hours"), "hours", "employee_id")
-    in_department = dense_rank_within(rows, "department", "hours", "employee_id")
-    names = employees.select("employee_id", full_name().alias("full_name"))
+    names = employees.select("employee_id", "department", full_name().alias("full_name"))
+    ranked = rank_all(hours.join(names, "employee_id"), "hours", "employee_id")
     return (
-        in_department.join(in_company.drop("hours"), "employee_id")
-        .join(names, "employee_id")
+        dense_rank_within(ranked, "department", "hours")
         .select(
             "employee_id",
             "full_name",

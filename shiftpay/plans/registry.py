@@ -292,15 +292,31 @@ def validation_summary(t: Tables) -> DataFrame:
 
 @query
 def constraint_audit(t: Tables) -> DataFrame:
+    # each table is audited rule by rule, so its rows are worked out once beforehand
+    validated = files.stage(t.validated(), "audit")
+    logs = files.stage(pay.transform(quality.clean_logs(validated)), "audit")
     parts = [
         constraints.audit(t.employees(), "employees", constraints.EMPLOYEES),
-        constraints.audit(t.raw(), "raw_time_logs", constraints.RAW_LOGS),
-        constraints.audit(t.logs(), "time_logs", constraints.TIME_LOGS),
-        constraints.audit(t.payroll(), "payroll_summary", constraints.PAYROLL),
+        constraints.audit(validated, "raw_time_logs", constraints.RAW_LOGS),
+        constraints.audit(logs, "time_logs", constraints.TIME_LOGS),
+        constraints.audit(pay.payroll_summary(logs), "payroll_summary", constraints.PAYROLL),
     ]
     return constraints.violated(reduce(DataFrame.unionByName, parts))
 
 
+@query
+def error_table_audit(t: Tables) -> DataFrame:
+    """Every rule of the errors table, broken or not."""
+    return constraints.audit(t.errors(), "validation_errors", constraints.VALIDATION_ERRORS)
+
+
+@query
+def orphan_payroll(t: Tables) -> DataFrame:
+    """Payroll rows whose employee is missing from a directory of active employees only."""
+    active = t.employees().filter(F.col("status") == reports.ACTIVE)
+    return constraints.orphans(t.payroll(), active).select("employee_id", "week_start", "department")
+
+
 @query
 def orphan_time_logs(t: Tables) -> DataFrame:
     """Shifts whose employee is missing from a directory of active employees only."""
@@ -402,6 +418,11 @@ def api_employees_page(t: Tables) -> DataFrame:
     return listings.employees_page(t.employees(), 2, 5, "nation_1", "Active")
 
 
+@query
+def api_employees_middle_page(t: Tables) -> DataFrame:
+    return listings.employees_page(t.employees(), 6, 10)
+
+
 @query
 def api_employee_detail(t: Tables) -> DataFrame:
     return listings.employee_profiles(t.logs(), t.employees(), "EMP0000001")
@@ -417,6 +438,13 @@ def api_payroll_page(t: Tables) -> DataFrame:
     return listings.payroll_page(t.payroll(), t.employees(), 1, 50, "nation_1")
 
 
+@query
+def api_payroll_last_page(t: Tables) -> DataFrame:
+    payroll = t.payroll()
+    last = max(1, -(-payroll.count() // 500))
+    return listings.payroll_page(payroll, t.employees(), last, 500)
+
+
 @query
 def api_department_summary(t: Tables) -> DataFrame:
     return reports.department_summary(t.logs())

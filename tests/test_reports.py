@@ -35,7 +35,7 @@ def test_ranks_equal_plain_windows(spark):
     found = (
         rank_all(rows, "hours", "employee_id")
         .join(
-            dense_rank_within(rows, "department", "hours", "employee_id").select(
+            dense_rank_within(rows, "department", "hours").select(
                 "employee_id", "dept_rank"
             ),
             "employee_id",
@@ -201,40 +201,34 @@ def test_employee_pages(people):
             ids(**wrong)
 
 
-def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
+def test_pages_add_up_to_the_whole(spark):
     people = staff(spark, *[{"last_name": f"N{i * 7 % 50}"} for i in range(57)]).repartition(5)
+    found = [listings.employees_page(people, page, 10).collect() for page in range(1, 8)]
+    order = people.orderBy("last_name", "first_name", "employee_id").collect()
+    assert [r.employee_id for page in found for r in page] == [r.employee_id for r in order]
+    assert [len(page) for page in found] == [10, 10, 10, 10, 10, 7, 0]
+    assert {r.total for page in found for r in page} == {57}
 
-    def pages():
-        found = [listings.employees_page(people, page, 10).collect() for page in range(1, 8)]
-        return [[(r.employee_id, r.total) for r in page] for page in found]
 
-    shallow = pages()
-    monkeypatch.setattr(listings, "SHALLOW", 5)
-    assert pages() == shallow
-    assert [len(page) for page in shallow] == [10, 10, 10, 10, 10, 7, 0]
+def test_no_page_has_an_offset(spark):
+    people = staff(spark, {}, {}, {})
+    for page in (1, 2, 1900):
+        plan = listings.employees_page(people, page, 500)._jdf.queryExecution().executedPlan()
+        assert "offset" not in plan.toString().lower()
 
 
-def test_profiles(shifts, people):
-    found = {r.employee_id: r for r in listings.employee_profiles(shifts, people).collect()}
-    assert (found["E4"].total_shifts, found["E4"].total_hours) == (0, None)
-    assert found["E1"].total_overtime == Decimal("2.00")
-    assert listings.employee_profiles(shifts, people, "E1").collect() == [found["E1"]]
-    assert listings.employee_profiles(shifts, people, "E404").count() == 0
-
-
-def test_long_hours_flag(spark, people):
-    shifts = logs(
-        spark,
-        *[{"employee_id": "E1", "seconds": 20 * HOUR}] * 2,
-        *[{"employee_id": "E2", "seconds": 20 * HOUR}] * 2,
-        {"employee_id": "E2", "seconds": HOUR},
-    )
-    found = by(
-        metrics.long_hours_flag(listings.employee_profiles(shifts, people)),
-        "employee_id",
-        "is_overtime",
+def test_ranks_of_many_ties_with_a_long_common_prefix(spark):
+    rows = spark.range(100_000).selectExpr(
+        "concat('EMPLOYEE-WITH-A-LONG-PREFIX-', lpad(id, 9, '0')) as employee_id",
+        "cast(if(id < 99990, 8, id) as decimal(10,4)) as hours",
+        "'D' as department",
     )
-    assert found == {"E1": False, "E2": True, "E3": False, "E4": False}
+    ranked = dense_rank_within(rank_all(rows.repartition(4), "hours", "employee_id"), "department", "hours")
+    counts = ranked.selectExpr(
+        "count(distinct position) p", "max(position) m", "count_if(company_rank = 11) tied",
+        "max(dept_rank) d", "max(total_rows) n", "count_if(hours = 8 and dept_rank = 11) last",
+    ).first()
+    assert tuple(counts) == (100_000, 100_000, 99_990, 11, 100_000, 99_990)
 
 
 def test_payroll_pages(shifts, people):
