@@ -122,6 +122,80 @@ def raw_time_logs(t: Tables) -> DataFrame:
     return readers.parse(text, schemas.RAW_LOGS)
 
 
+@query
+def employees_csv(t: Tables) -> DataFrame:
+    """The directory through a CSV file."""
+    path = f"{files.new_folder(t.spark, 'csv')}/employees"
+    sinks.write_csv(t.employees(), path)
+    return readers.read_employees(t.spark, path).select(*schemas.names(schemas.EMPLOYEES))
+
+
+@query
+def raw_logs_csv(t: Tables) -> DataFrame:
+    """Raw shifts through a CSV file."""
+    path = f"{files.new_folder(t.spark, 'csv')}/time_logs"
+    sinks.write_csv(t.raw().select(*schemas.names(schemas.RAW_LOGS)), path)
+    return readers.read_time_logs(t.spark, path).select(*schemas.names(schemas.RAW_LOGS))
+
+
+@query
+def processed_csv(t: Tables) -> DataFrame:
+    """Processed shifts as exported and read again, times as text to the second."""
+    path = f"{files.new_folder(t.spark, 'csv')}/time_logs"
+    sinks.write_csv(t.logs(), path)
+    return readers.read_processed(t.spark, path, schemas.TIME_LOGS)
+
+
+@query
+def processed_tables(t: Tables) -> DataFrame:
+    """Rows of the processed tables and of the error report as written, by table; a report
+    without errors is not written and reads as empty."""
+    folder = files.new_folder(t.spark, "processed")
+    validated = files.stage(t.validated(), "processed")
+    logs = pay.transform(quality.clean_logs(validated))
+    errors = quality.validation_errors(validated, _RUN_ID, _NOW)
+    written = {
+        "employees": sinks.write_table(t.employees(), f"{folder}/employees"),
+        "payroll_summary": sinks.write_table(pay.payroll_summary(logs), f"{folder}/payroll"),
+        "time_logs": sinks.write_logs(logs, f"{folder}/time_logs"),
+    }
+    sinks.write_errors(errors, f"{folder}/errors")
+    sinks.write_errors(errors.filter("false"), f"{folder}/no_errors")
+    for name in ("errors", "no_errors"):
+        found = readers.read_table(t.spark, f"{folder}/{name}", schemas.VALIDATION_ERRORS)
+        written[name] = found.count()
+    return t.spark.createDataFrame(sorted(written.items()), "table_name string, row_count bigint")
+
+
+@query
+def upload_modes(t: Tables) -> DataFrame:
+    """Rows of a warehouse table after each write mode, one after the other."""
+    path = f"{files.new_folder(t.spark, 'modes')}/employees"
+    staff, counts = t.employees(), []
+    active = staff.filter(F.col("status") == reports.ACTIVE)
+    for step, (rows, mode) in enumerate(
+        [(staff, sinks.EMPTY), (active, sinks.APPEND), (active, sinks.TRUNCATE)]
+    ):
+        sinks.upload(rows, path, mode)
+        counts.append((step, mode, t.spark.read.parquet(path).count()))
+    return t.spark.createDataFrame(counts, "step bigint, mode string, row_count bigint")
+
+
+@query
+def warehouse_tables(t: Tables) -> DataFrame:
+    """Shifts of the warehouse after two runs, each with its table's rows added."""
+    raw = t.raw()
+    _, warehouse = _two_runs(t, raw.filter("k1 % 2 = 0"), raw)
+    staff = t.spark.read.parquet(f"{warehouse}/employees")
+    parts = [
+        sinks.time_logs(t.spark, warehouse).select(F.lit("time_logs").alias("table_name"), "employee_id"),
+        sinks.payroll(t.spark, warehouse).select(F.lit("payroll_summary"), "employee_id"),
+        staff.select(F.lit("employees"), "employee_id"),
+    ]
+    rows = reduce(DataFrame.union, parts)
+    return rows.groupBy("table_name", "employee_id").agg(F.count("*").alias("row_count"))
+
+
 def _earlier_employees(staff: DataFrame) -> DataFrame:
     even = F.substring("employee_id", -1, 1).cast("int") % 2 == 0
     return staff.filter(even).select(
@@ -254,6 +328,16 @@ def validated_logs(t: Tables) -> DataFrame:
     )
 
 
+@query
+def val_missing_clock_in(t: Tables) -> DataFrame:
+    """Shifts flagged for a missing clock_in, where every ninth one lacks it."""
+    raw = t.raw()
+    clock_in = F.when(F.col("k1") % 9 != 0, F.col("clock_in"))
+    order = [c for c in timeclock.INGEST_ORDER if c != "clock_in"]
+    validated = quality.validate(raw.withColumn("clock_in", clock_in), [*order, "clock_out"])
+    return quality.flagged(validated, quality.NO_CLOCK_IN).select("log_id", "employee_id", "error_reason")
+
+
 @query
 def skewed_validation(t: Tables) -> DataFrame:
     """Validation with a third of all shifts under one id, and many without any."""
