@@ -115,21 +115,21 @@ def _verified(points: dict[int, int], nearest: int, shared: int, min_cosine: flo
     def linked(keys, rows: pa.Table):
         """Links inside one list, or between both blocks of it."""
         n = keys[0] >> 40
-        values = np.array(rows.column("values").to_pylist(), np.float64)
+        flat = rows.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         side = rows.column("side").to_numpy()
-        unit = _unit(values)
+        unit = _unit(flat.astype(np.float64).reshape(rows.num_rows, -1))
         left = np.flatnonzero(side != 2)
         right = np.flatnonzero(side != 1)
-        order = np.stack([np.frombuffer(x, np.int16) for x in rows.column("nearest").to_pylist()])
+        joined = b"".join(rows.column("nearest").to_pylist())
+        order = np.frombuffer(joined, np.int16).reshape(rows.num_rows, -1)
         lists = np.sort(_lists(order, points[n], shared), axis=1)
         own = keys[0] & ((1 << 40) - 1)
-        names = np.array(rows.column("class").to_pylist())
         for low in range(0, len(left), 512):
             i = left[low : low + 512]
             a, b = np.nonzero(unit[i] @ unit[right].T >= min_cosine)
             a, b = i[a], right[b]
-            keep = names[a] < names[b] if not side.any() else names[a] != names[b]
-            a, b = a[keep], b[keep]
+            if not side.any():  # within one block each pair once
+                a, b = a[a < b], b[a < b]
             # a pair that meets in several lists counts in the first of them
             first = np.full(len(a), True)
             for k in range(lists.shape[1]):
