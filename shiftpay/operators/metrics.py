@@ -12,12 +12,12 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shiftpay.functions.columns import ratio, total, total_or_zero
+from shiftpay.operators.pay import OVERTIME_FACTOR
 
 # Limits of the overtime flags in percent, and of an employee's hours.
 HIGH_OVERTIME_PCT = 15
 SEVERE_OVERTIME_PCT = 20
 LONG_HOURS = 40
-OVERTIME_FACTOR = Decimal("1.5")
 
 
 def _share(part: Column, whole: Column) -> Column:

@@ -116,7 +116,7 @@ def load_raw(
     # A first load has no other shifts of its weeks to look up.
     touched = logs if seen is None else touched_logs(root, logs, batch_id)
     summary = pay.payroll_summary(touched)
-    payroll_rows = sinks.load_payroll(root, summary)
+    payroll_rows = sinks.load_payroll(root, summary, now)
     metrics = quality.run_metrics(validated).withColumn("run_id", F.lit(run_id))
     sinks.finish_load(root, metrics, batch_id, stream, part)
     return Load(

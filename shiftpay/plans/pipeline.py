@@ -65,7 +65,7 @@ def run_pipeline(
         upload = timed(
             "upload",
             lambda: sinks.upload_all(
-                warehouse, load.logs, load.weeks, employees.select(*directory), batch_id
+                warehouse, load.logs, load.weeks, employees.select(*directory), batch_id, started
             ),
         )
 

@@ -242,7 +242,7 @@ def incremental_payroll(t: Tables) -> DataFrame:
         incremental.run_available(
             stream, f"{folder}/tables", f"{folder}/progress", timeclock.INGEST_ORDER
         ).awaitTermination()
-    return sinks.payroll(spark, f"{folder}/tables")
+    return sinks.payroll(spark, f"{folder}/tables").drop("created_at")
 
 
 @query
@@ -287,7 +287,7 @@ def warehouse_payroll(t: Tables) -> DataFrame:
     """Payroll of the warehouse after two runs, the later shifts of many weeks second."""
     raw = t.raw()
     _, warehouse = _two_runs(t, raw.filter("k1 % 2 = 0"), raw.filter("k1 % 2 = 1"))
-    return sinks.payroll(t.spark, warehouse)
+    return sinks.payroll(t.spark, warehouse).drop("created_at")
 
 
 @query

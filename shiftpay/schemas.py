@@ -90,3 +90,7 @@ def with_fields(schema: T.StructType, **extra: T.DataType) -> T.StructType:
     return T.StructType(
         schema.fields + [T.StructField(name, kind) for name, kind in extra.items()]
     )
+
+
+#: Payroll as it is stored: with the time a row was first written.
+PAYROLL_TABLE = with_fields(PAYROLL, created_at=T.TimestampType())

@@ -119,7 +119,7 @@ def validation_errors(spark: SparkSession, root: str) -> DataFrame:
 
 
 def payroll(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/payroll_summary", schemas.PAYROLL)
+    return read_table(spark, f"{root}/payroll_summary", schemas.PAYROLL_TABLE)
 
 
 # --- loads -------------------------------------------------------------------
@@ -128,11 +128,12 @@ def payroll(spark: SparkSession, root: str) -> DataFrame:
 def load_employees(
     root: str, source: DataFrame, now: datetime, order_by: list[str] | None = None
 ) -> int:
-    """Merge ``source`` into the directory as a new version; rows of the directory."""
+    """Merge ``source`` into the directory as a new version; employees added or updated."""
     spark = source.sparkSession
     merged = merge.upsert_employees(employees(spark, root), source, now, order_by)
-    version = max(_versions(spark, root), default=0) + 1
-    return write_table(merged, f"{root}/employees/version={version}")
+    path = f"{root}/employees/version={max(_versions(spark, root), default=0) + 1}"
+    write_table(merged, path)
+    return spark.read.parquet(path).filter(F.col("updated_at") == F.lit(now).cast("timestamp")).count()
 
 
 def load_time_logs(
@@ -183,7 +184,7 @@ def run_errors(spark: SparkSession, root: str, batch_id: int | None = None) -> D
     return validation_errors(spark, root).filter(F.col("batch_id") == wanted)
 
 
-def load_payroll(root: str, summary: DataFrame) -> int:
+def load_payroll(root: str, summary: DataFrame, now: datetime) -> int:
     """Upsert payroll rows; only the weeks in ``summary`` are read and rewritten.
 
     The merged weeks are staged first: the weeks in the table are replaced from
@@ -191,7 +192,8 @@ def load_payroll(root: str, summary: DataFrame) -> int:
     """
     spark = summary.sparkSession
     folder = files.new_folder(spark, "payroll")
-    loaded = files.stage_in(fold_payroll(summary), f"{folder}/loaded")
+    dated = fold_payroll(summary).withColumn("created_at", F.lit(now).cast("timestamp"))
+    loaded = files.stage_in(dated, f"{folder}/loaded")
     merged = loaded
     if files.exists(spark, f"{root}/payroll_summary"):
         old = payroll(spark, root).filter(any_of(loaded, "week_start"))
@@ -204,7 +206,7 @@ def load_payroll(root: str, summary: DataFrame) -> int:
 
 def _replace_weeks(root: str, rows: DataFrame) -> None:
     (
-        rows.select(*schemas.names(schemas.PAYROLL))
+        rows.select(*schemas.names(schemas.PAYROLL_TABLE))
         .hint("rebalance", "week_start")
         .sortWithinPartitions("week_start", "employee_id")
         .write.mode("overwrite")
@@ -255,7 +257,12 @@ class Upload:
 
 
 def upload_all(
-    root: str, logs: DataFrame, payroll_weeks: DataFrame, directory: DataFrame, batch_id: int = 1
+    root: str,
+    logs: DataFrame,
+    payroll_weeks: DataFrame,
+    directory: DataFrame,
+    batch_id: int,
+    now: datetime,
 ) -> Upload:
     """Bring the warehouse tables up to date; the first write that fails ends the upload.
 
@@ -265,7 +272,7 @@ def upload_all(
     Errors of Spark and of the storage are reported; others are errors of the program.
     """
     steps = [
-        ("payroll_summary", lambda path: load_payroll(path, payroll_weeks)),
+        ("payroll_summary", lambda path: load_payroll(path, payroll_weeks, now)),
         ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
         ("employees", lambda path: upload(directory, f"{path}/employees", TRUNCATE)),
     ]

@@ -22,6 +22,6 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - {"incremental_payroll"}))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, db, name):
     assert differences(registry.queries()[name](spark, DATA), db, ORACLE[name]) == []
