@@ -1,8 +1,9 @@
-"""Command line: a batch run, incremental loads, and the daily report."""
+"""Command line: a batch run, incremental loads, uploads, and the daily report."""
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from shiftpay.operators import metrics
 from shiftpay.plans.pipeline import run_pipeline
@@ -27,6 +28,10 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     follow.add_argument("tables", help="folder of the tables")
     follow.add_argument("checkpoint", help="folder that remembers the loaded files")
 
+    upload = commands.add_parser("upload", help="bring a warehouse up to date with the tables")
+    upload.add_argument("tables", help="folder of the tables")
+    upload.add_argument("warehouse", help="folder of the warehouse tables")
+
     report = commands.add_parser("report", help="show the daily report")
     report.add_argument("tables", help="folder of the tables")
     return parser.parse_args(given)
@@ -50,6 +55,11 @@ def main(given: list[str] | None = None) -> None:
     elif chosen.command == "follow":
         stream = incremental.raw_file_stream(spark, chosen.time_logs)
         incremental.run_available(stream, chosen.tables, chosen.checkpoint).awaitTermination()
+    elif chosen.command == "upload":
+        done = sinks.upload_stored(
+            spark, chosen.tables, chosen.warehouse, datetime.now(timezone.utc)
+        )
+        print(done.rows, done.problem or "")
     else:
         logs = sinks.time_logs(spark, chosen.tables)
         metrics.report_totals(logs).show()

@@ -17,6 +17,7 @@ replaces what it left, so it is to be repeated before any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -256,6 +257,24 @@ class Upload:
     problem: str | None = None
 
 
+def _upload(root: str, steps: list[tuple[str, Callable[[str], int]]]) -> Upload:
+    """Writes in order; the first that fails ends the upload.
+
+    Errors of Spark and of the storage are reported; others are errors of the program.
+    """
+    written: dict[str, int] = {}
+    for table, write in steps:
+        try:
+            written[table] = written.get(table, 0) + write(root)
+        except (PySparkException, Py4JJavaError, OSError) as problem:
+            return Upload(written, f"{table}: {problem}")
+    return Upload(written)
+
+
+def _upload_directory(directory: DataFrame) -> tuple[str, Callable[[str], int]]:
+    return "employees", lambda path: upload(directory, f"{path}/employees", TRUNCATE)
+
+
 def upload_all(
     root: str,
     logs: DataFrame,
@@ -264,22 +283,35 @@ def upload_all(
     batch_id: int,
     now: datetime,
 ) -> Upload:
-    """Bring the warehouse tables up to date; the first write that fails ends the upload.
+    """Bring the warehouse tables up to date after load ``batch_id``.
 
     ``payroll_weeks`` holds whole weeks: totals over all stored shifts of every employee
     and week that the load touched, since they replace what the warehouse has. Shifts and
     payroll go through the idempotent loads, so loading the same rows again adds none.
-    Errors of Spark and of the storage are reported; others are errors of the program.
     """
-    steps = [
-        ("payroll_summary", lambda path: load_payroll(path, payroll_weeks, now)),
-        ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
-        ("employees", lambda path: upload(directory, f"{path}/employees", TRUNCATE)),
-    ]
-    written: dict[str, int] = {}
-    for table, write in steps:
-        try:
-            written[table] = write(root)
-        except (PySparkException, Py4JJavaError, OSError) as problem:
-            return Upload(written, f"{table}: {problem}")
-    return Upload(written)
+    return _upload(
+        root,
+        [
+            ("payroll_summary", lambda path: load_payroll(path, payroll_weeks, now)),
+            ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
+            _upload_directory(directory),
+        ],
+    )
+
+
+def upload_stored(spark: SparkSession, tables: str, root: str, now: datetime) -> Upload:
+    """Bring the warehouse up to date with the stored tables, load by load.
+
+    Each load's shifts go under its own number there, so this may follow or precede
+    uploads of single loads.
+    """
+    columns = schemas.names(schemas.TIME_LOGS)
+    weeks = payroll(spark, tables).drop("created_at")
+    steps = [("payroll_summary", lambda path: load_payroll(path, weeks, now))]
+    for number in _finished(spark, tables):
+        logs = time_logs(spark, tables).filter(F.col("batch_id") == number).select(*columns)
+        steps.append(
+            ("time_logs", lambda path, logs=logs, n=number: load_time_logs(path, logs, n))
+        )
+    names = schemas.names(schemas.EMPLOYEES)
+    return _upload(root, [*steps, _upload_directory(employees(spark, tables).select(*names))])

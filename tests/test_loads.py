@@ -362,6 +362,21 @@ def test_warehouse_weeks_hold_all_stored_shifts(spark, tmp_path):
     assert (week.num_shifts, float(week.total_hours)) == (2, 16.0)
 
 
+def test_upload_of_the_stored_tables(spark, tmp_path):
+    root, warehouse = str(tmp_path / "t"), str(tmp_path / "w")
+    people = staff(spark, {}, {})
+    for ids in (["A", "B"], ["C"]):
+        shifts = raw(spark, *[{"log_id": i} for i in ids])
+        run_pipeline(spark, root, people, shifts, ["n"], ["employee_id"]).collect()
+    for _ in range(2):  # again changes nothing
+        done = sinks.upload_stored(spark, root, warehouse, NOW)
+        assert done.problem is None and done.rows["time_logs"] == 3
+        assert _stored_ids(spark, warehouse) == ["A", "B", "C"]
+        weeks = [sinks.payroll(spark, x).drop("created_at") for x in (warehouse, root)]
+        assertDataFrameEqual(*weeks)
+        assert spark.read.parquet(f"{warehouse}/employees").count() == 2
+
+
 def test_a_run_over_a_growing_folder_flags_new_faults_only(spark, tmp_path):
     root, people = str(tmp_path / "t"), staff(spark, {}, {})
     rows = [{"log_id": "A"}, {"log_id": "B", "clock_out": None}, {"log_id": "C"}, {"log_id": "C"}]
