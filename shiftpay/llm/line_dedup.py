@@ -17,33 +17,39 @@ MIN_DOCUMENTS = 3
 MIN_TOKENS = 3
 ANY = "<*>"
 _SPACE = r"[ \t\x0B\f\r]+"
-#: A token with a digit in it, from its beginning.
+#: What a line with anything to clean holds; a token with a digit, from its beginning.
+_UNTIDY = r"[0-9\t\x0B\f\r]|  "
 _VARIABLE = r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*+"
 
 
-def masked(line: Column) -> Column:
-    """The line with tokens that hold a digit replaced by a wild card."""
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _VARIABLE, ANY)).otherwise(line)
+def clean(line: Column) -> Column:
+    """The line's tokens with one space between; a token with a digit is a wild card.
+
+    Most lines need no regular expression beyond the one that says so.
+    """
+    tidied = F.regexp_replace(F.regexp_replace(line, _VARIABLE, ANY), _SPACE, " ")
+    return F.trim(F.when(line.rlike(_UNTIDY), tidied).otherwise(line))
 
 
-def tokens(line: Column) -> Column:
-    return F.filter(F.split(masked(line), _SPACE), lambda t: t != "")
+def _count(cleaned: str) -> Column:
+    """Number of tokens of a cleaned line."""
+    spaces = F.octet_length(cleaned) - F.octet_length(F.replace(cleaned, F.lit(" "), F.lit("")))
+    return F.when(F.col(cleaned) == "", 0).otherwise(spaces + 1)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines long enough: row (id and text digest), place, tokens, leaf and line digests."""
-    text = shared.text_or_empty()
+    """Lines long enough: row (id and text digest), place, leaf and line digests."""
+    # cleaned lines come out of the explode as a column, so nothing cleans them again
     cut = docs.select(
         F.col("doc_id").alias("id"),
         shared.text_key().alias("digest"),
-        F.posexplode(F.split(text, "\n")).alias("place", "line"),
-    )
-    words = cut.withColumn("tokens", tokens(F.col("line"))).where(F.size("tokens") >= MIN_TOKENS)
-    return words.select(
-        "id", "digest", "place", "tokens",
-        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"),
-        F.xxhash64("tokens").alias("a"),
-        F.xxhash64(F.lit(1), F.col("tokens")).alias("b"),
+        F.posexplode(F.transform(F.split(shared.text_or_empty(), "\n"), clean)).alias("place", "line"),
+    )
+    return cut.where(_count("line") >= MIN_TOKENS).select(
+        "id", "digest", "place",
+        F.xxhash64(_count("line"), F.substring_index("line", " ", DEPTH)).alias("leaf"),
+        F.xxhash64("line").alias("a"),
+        F.xxhash64(F.lit(1), F.col("line")).alias("b"),
     )
 
 
@@ -84,8 +90,7 @@ def dropped_lines(
     of those only distinct lines, so a line that a third of all documents share is one row
     for each map task before it is shuffled.
     """
-    lines = _lines(docs)
-    short = stage(lines.drop("tokens"), "lines")
+    short = stage(_lines(docs), "lines")
     first = F.struct(F.col("id").isNull().alias("null"), "id", "digest")
     # a line's occurrences in one text count once, and so do copies of a text
     texts = short.groupBy("leaf", "a", "b", "digest").agg(F.min(first).alias("first"))
@@ -112,7 +117,7 @@ def dropped_lines(
         by_row, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_digest") == F.col("digest"))
     )
     read = held.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")).select(
-        "w.leaf", "w.a", "w.b", tokens(F.element_at("all", F.col("w.place") + 1)).alias("tokens")
+        "w.leaf", "w.a", "w.b", F.split(clean(F.element_at("all", F.col("w.place") + 1)), " ").alias("tokens")
     )
     general = _templates(read.groupBy("leaf", "a", "b").agg(F.first("tokens").alias("tokens")), similarity)
     # a template is a leaf (general) or one line of it
