@@ -12,7 +12,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of text worked on at a time inside a task, unless one text alone is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of a batch that goes to a Python worker, unless the session says otherwise: the
+#: buffers of both sides lie outside the heap, and with long texts the default takes a lot.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 _MASK = (1 << 64) - 1
 #: Odd multipliers of the 64-bit mixing step and of the substring hashes.
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -47,7 +50,11 @@ def mapped(rows: DataFrame, work: Callable, schema) -> DataFrame:
 
     Workers on this machine find it by the path added here; those of a cluster by the
     archive that the job is submitted with (``--py-files``), and the path is ignored.
+    Batches are small where the session sets no size of its own.
     """
+    settings = rows.sparkSession.conf
+    if BATCH_BYTES[0] not in settings.getAll:
+        settings.set(*BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     environment = rows.sparkSession.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(":"):
