@@ -3,7 +3,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.testing import assertDataFrameEqual
 
 from rows import START, by, raw
 from shiftpay.functions.firsts import mark_repeats
