@@ -38,29 +38,31 @@ def _count(cleaned: str) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines long enough: row (id and text digest), place, leaf and line digests."""
+    """Lines long enough: row (id and text digest), place, digests of leaf and line.
+
+    A line is known by both digests, 128 bits.
+    """
     # cleaned lines come out of the explode as a column, so nothing cleans them again
     cut = docs.select(
-        F.col("doc_id").alias("id"),
+        shared.id_key().alias("id"),
         shared.text_key().alias("digest"),
         F.posexplode(F.transform(F.split(shared.text_or_empty(), "\n"), clean)).alias("place", "line"),
     )
     return cut.where(_count("line") >= MIN_TOKENS).select(
         "id", "digest", "place",
         F.xxhash64(_count("line"), F.substring_index("line", " ", DEPTH)).alias("leaf"),
-        F.xxhash64("line").alias("a"),
-        F.xxhash64(F.lit(1), F.col("line")).alias("b"),
+        F.xxhash64("line").alias("line"),
     )
 
 
 def _templates(distinct: DataFrame, similarity: float) -> DataFrame:
-    """(leaf, a, b, general): whether a leaf's distinct lines follow its template.
+    """(leaf, line, general): whether a leaf's distinct lines follow its template.
 
     A leaf's template has at each place the token that most of its lines have there, if more
     than half do, and a wild card elsewhere. A line follows it if enough of its tokens,
     wild cards for digits included, equal the template's.
     """
-    places = distinct.select("leaf", "a", "b", F.posexplode("tokens").alias("at", "token"))
+    places = distinct.select("leaf", "line", F.posexplode("tokens").alias("at", "token"))
     counted = places.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"))
     chosen = counted.groupBy("leaf", "at").agg(
         F.max_by("token", F.struct("n", "token")).alias("token"),
@@ -77,7 +79,7 @@ def _templates(distinct: DataFrame, similarity: float) -> DataFrame:
         lambda total, x: total + x,
     )
     return distinct.join(template, "leaf").select(
-        "leaf", "a", "b", (equal >= F.ceil(F.size("tokens") * F.lit(similarity))).alias("general")
+        "leaf", "line", (equal >= F.ceil(F.size("tokens") * F.lit(similarity))).alias("general")
     )
 
 
@@ -90,47 +92,51 @@ def dropped_lines(
     of those only distinct lines, so a line that a third of all documents share is one row
     for each map task before it is shuffled.
     """
-    short = stage(_lines(docs), "lines")
-    first = F.struct(F.col("id").isNull().alias("null"), "id", "digest")
+    every = stage(_lines(docs), "lines")
+    # a template's texts all reach its leaf, so leaves with too few lines end here
+    often = every.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents)
+    short = stage(every.join(stage(often.select("leaf"), "leaves"), "leaf", "left_semi"), "leaf-lines")
+    null = F.col("id") == shared.id_key_of_null()
+    first = F.struct(null.alias("null"), "id", "digest")
     # a line's occurrences in one text count once, and so do copies of a text
-    texts = short.groupBy("leaf", "a", "b", "digest").agg(F.min(first).alias("first"))
+    texts = stage(
+        short.groupBy("leaf", "line", "digest").agg(F.min(first).alias("first")), "line-texts"
+    )
     distinct = stage(
-        texts.groupBy("leaf", "a", "b").agg(F.count("*").alias("texts"), F.min("first").alias("first")),
-        "line-texts",
+        texts.groupBy("leaf", "line").agg(F.count("*").alias("texts"), F.min("first").alias("first")),
+        "lines-told-apart",
     )
     busy = (
         distinct.groupBy("leaf")
         .agg(F.count("*").alias("lines"), F.sum("texts").alias("texts"))
         .where((F.col("lines") > 1) & (F.col("texts") >= min_documents))
     )
-    mixed = distinct.join(busy.select("leaf"), "leaf").select("leaf", "a", "b", "first")
+    mixed = distinct.join(busy.select("leaf"), "leaf").select("leaf", "line", "first")
     # the tokens of each such line are read where it first occurs
-    where = short.join(mixed.select("leaf", "a", "b", "first.*").drop("null"), ["leaf", "a", "b", "id", "digest"])
-    wanted = where.groupBy("leaf", "a", "b", "id", "digest").agg(F.min("place").alias("place"))
+    where = short.join(mixed.select("leaf", "line", "first.*").drop("null"), ["leaf", "line", "id", "digest"])
+    wanted = where.groupBy("leaf", "line", "id", "digest").agg(F.min("place").alias("place"))
     by_row = wanted.groupBy("id", "digest").agg(
-        F.collect_list(F.struct("place", "leaf", "a", "b")).alias("wanted")
+        F.collect_list(F.struct("place", "leaf", "line")).alias("wanted")
     )
     rows = docs.select(
-        F.col("doc_id"), shared.text_key().alias("row_digest"), shared.text_or_empty().alias("text")
-    )
-    held = rows.join(
-        by_row, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_digest") == F.col("digest"))
+        shared.id_key().alias("id"), shared.text_key().alias("digest"), shared.text_or_empty().alias("text")
     )
-    read = held.select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")).select(
-        "w.leaf", "w.a", "w.b", F.split(clean(F.element_at("all", F.col("w.place") + 1)), " ").alias("tokens")
+    read = rows.join(by_row, ["id", "digest"]).select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")
+    ).select(
+        "w.leaf", "w.line", F.split(clean(F.element_at("all", F.col("w.place") + 1)), " ").alias("tokens")
     )
-    general = _templates(read.groupBy("leaf", "a", "b").agg(F.first("tokens").alias("tokens")), similarity)
+    general = _templates(read.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")), similarity)
     # a template is a leaf (general) or one line of it
     named = (
-        distinct.join(general.where("general"), ["leaf", "a", "b"], "left")
+        distinct.join(general.where("general"), ["leaf", "line"], "left")
         .select(
-            "leaf", "a", "b", "texts", "first",
+            "leaf", "line", "texts", "first",
             F.coalesce("general", F.lit(False)).alias("general"),
         )
     )
     named = stage(named, "line-templates")
     shared_texts = (
-        texts.join(named.where("general").select("leaf", "a", "b"), ["leaf", "a", "b"])
+        texts.join(named.where("general").select("leaf", "line"), ["leaf", "line"])
         .groupBy("leaf", "digest")
         .agg(F.min("first").alias("first"))
         .groupBy("leaf")
@@ -138,15 +144,15 @@ def dropped_lines(
     )
     recurring = (
         named.where("general")
-        .select("leaf", "a", "b")
+        .select("leaf", "line")
         .join(shared_texts, "leaf")
         .unionByName(named.where("not general").drop("general"))
         .where(F.col("texts") >= min_documents)
-        .select("leaf", "a", "b", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+        .select("leaf", "line", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
     )
-    stays = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    stays = (F.col("id") == F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
     return (
-        short.join(recurring, ["leaf", "a", "b"])
+        short.join(recurring, ["leaf", "line"])
         .where(~stays)
         .groupBy("id", "digest")
         .agg(F.sort_array(F.collect_set("place")).alias("places"))
@@ -173,7 +179,7 @@ def drop_recurring_lines(
     gone = gone.select(*[F.col(c).alias(n) for c, n in zip(("id", "digest", "places"), names)])
     rows = docs.drop("n_lines", "n_dropped")
     joined = rows.join(
-        gone, rows["doc_id"].eqNullSafe(gone[names[0]]) & (shared.text_key() == gone[names[1]]), "left"
+        gone, (shared.id_key() == gone[names[0]]) & (shared.text_key() == gone[names[1]]), "left"
     )
     lines, places = F.split("text", "\n"), F.col(names[2])
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)

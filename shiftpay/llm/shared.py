@@ -32,9 +32,13 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(text_or_empty(column))
 
 
+def id_key_of_null() -> Column:
+    return F.lit(-(2**63)).cast("long")
+
+
 def id_key(column: str = "doc_id") -> Column:
     """The id as a join key that nulls share."""
-    return F.coalesce(F.col(column).cast("long"), F.lit(-(2**63)).cast("long"))
+    return F.coalesce(F.col(column).cast("long"), id_key_of_null())
 
 
 def free_name(rows: DataFrame, name: str) -> str:

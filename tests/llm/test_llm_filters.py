@@ -99,6 +99,13 @@ def test_lines_equal_the_sql_on_hard_rows(spark):
     assert differences(found, db, contract.oracle_sql()["op6_line_dedup"]) == []
 
 
+def test_templates_among_null_ids(spark):
+    rows = [(None, f"a b c d {w} f g h i") for w in ("xx", "yy", "zz", "vv", "vv")]
+    found = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = [r.text for r in found if r.text]
+    assert len(found) == 5 and len(set(left)) == 1 and sum(r.n_dropped for r in found) == 5 - len(left)
+
+
 def toxic_rows(n):
     draw = np.random.default_rng(6)
     words = np.array(["".join(draw.choice(list("aeiounrst"), 4)) for _ in range(400)])
