@@ -237,8 +237,15 @@ def groups(
     node from the start, however many rows have them. Null ids are never the least unless
     all of a group are null; a null or empty text has fingerprint 0 and is linked like any
     other. Repeated rows come out as often as they went in; an empty table gives none.
+    component_id doesn't name a group: those without any id share null, and those that share
+    their least id share that.
     """
     kept = columns or ["doc_id"]
+    return _rooted(docs, shingle_words, max_bits, kept).select(*kept, "fingerprint", "component_id")
+
+
+def _rooted(docs: DataFrame, shingle_words: int, max_bits: int, kept: list[str]) -> DataFrame:
+    """groups() with ``root``, a fingerprint that each group has to itself."""
     marked = stage(fingerprints(docs, shingle_words, kept), "simhash")
     classes = marked.groupBy(F.col("fingerprint").alias("value")).agg(F.min("doc_id").alias("least"))
     classes = stage(classes, "simhash-classes")
@@ -247,9 +254,9 @@ def groups(
         "value", "least", F.coalesce("root", "value").alias("root")
     )
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = found.join(least, "root").select("value", "component_id")
+    named = found.join(least, "root").select("value", "root", "component_id")
     return marked.join(named, marked.fingerprint == named.value).select(
-        *kept, "fingerprint", "component_id"
+        *kept, "fingerprint", "component_id", "root"
     )
 
 
@@ -265,9 +272,9 @@ def keep_one(
     keyed = docs.select(
         "doc_id", "text", shared.text_key().alias(names[1])
     )
-    found = groups(keyed.select("doc_id", "text", names[1]), shingle_words, max_bits, ["doc_id", names[1]])
+    found = _rooted(keyed.select("doc_id", "text", names[1]), shingle_words, max_bits, ["doc_id", names[1]])
     # equal (id, text digest): the same row repeated, of which one stays as well
-    first = found.groupBy("component_id").agg(
+    first = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", names[1])).alias("first")
     )
     chosen = first.select(

@@ -103,6 +103,15 @@ def test_groups_equal_brute_force(spark):
     assert kept.where("doc_id is null").count() == len(set(roots)) - len(least)
 
 
+def test_one_stays_of_each_group_whatever_its_ids(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}
+    rows = [(None, texts["a"]), (None, texts["a"].upper()), (None, texts["b"]), (None, texts["b"])]
+    rows += [(7, texts["c"]), (8, texts["c"].upper()), (7, texts["d"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text[0].lower()) for r in simhash.keep_one(docs.repartition(3)).collect())
+    assert kept == [("7", "c"), ("7", "d"), ("None", "a"), ("None", "b")]
+
+
 def test_fingerprint_of_long_text():
     text = " ".join(str(i % 977) for i in range(70_000))
     assert simhash.fingerprint(text) == plain_fingerprint(text)
