@@ -14,13 +14,18 @@ from shiftpay.llm.shared import Forest, mapped
 from shiftpay.sources.files import stage
 
 MIN_COSINE = 0.9
-#: Reference points: a sample of the distinct vectors, for each dimension.
+#: Reference points, for each dimension, and the distinct vectors they are chosen from.
 PIVOTS = 128
+SAMPLE = 2048
+#: So far below the cosine that links two vectors is that of any two pivots. Those of one
+#: cluster would be almost equally near to its vectors, and their order chance.
+APART = 0.1
 #: Nearest pivots kept, in order, for each vector; shared pivots that make a candidate.
 NEAREST = 8
 SHARED = 2
 #: Rows of one list that meet in one task; longer lists are dealt as pairs of blocks.
 LIST_LIMIT = 4096
+_PARTS = 64
 
 
 def _classes(vectors: DataFrame, column: str) -> DataFrame:
@@ -37,23 +42,34 @@ def _classes(vectors: DataFrame, column: str) -> DataFrame:
     return rows.withColumn("class", F.when(F.col("values").isNotNull(), F.md5(F.to_json(F.struct("values")))))
 
 
-def _pivots(classes: DataFrame, pivots: int) -> dict[int, np.ndarray]:
-    """By dimension, the ``pivots`` vectors whose digests sort first: a bounded sample."""
-    first = Window.partitionBy("n").orderBy("class")
-    sized = classes.select("class", "values", F.size("values").alias("n"))
-    # each task passes on its own first ones, so the window sorts few rows
+def _pivots(classes: DataFrame, pivots: int, bound: float) -> dict[int, np.ndarray]:
+    """By dimension, ``pivots`` vectors no two of which are at a cosine of ``bound`` or more.
+
+    They come from a sample, those whose digests sort first in each of _PARTS parts. Fewer
+    pivots if the sample has no more that are apart: the less tell vectors apart, the more
+    of them meet.
+    """
     local = Window.partitionBy("n", "part").orderBy("class")
     few = (
-        sized.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(64)))
+        classes.select("class", "values", F.size("values").alias("n"))
+        .withColumn("part", F.pmod(F.xxhash64("class"), F.lit(_PARTS)))
         .withColumn("k", F.row_number().over(local))
-        .where(F.col("k") <= pivots)
-        .withColumn("k", F.row_number().over(first))
-        .where(F.col("k") <= pivots)
+        .where(F.col("k") <= SAMPLE // _PARTS)
     )
     found: dict[int, list] = {}
     for r in few.select("n", "values").orderBy("n", "class").collect():
         found.setdefault(r.n, []).append(r["values"])
-    return {n: _unit(np.array(v, np.float64)) for n, v in found.items()}
+    return {n: _apart(_unit(np.array(v, np.float64)), pivots, bound) for n, v in found.items()}
+
+
+def _apart(sample: np.ndarray, pivots: int, bound: float) -> np.ndarray:
+    """The first rows, each passed over that is within ``bound`` of one taken before."""
+    taken, nearest = [], np.full(len(sample), -2.0)
+    for i in range(len(sample)):
+        if nearest[i] < bound and len(taken) < pivots:
+            taken.append(i)
+            nearest = np.maximum(nearest, sample @ sample[i])
+    return sample[taken]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -192,7 +208,8 @@ def near_vectors(
 ) -> DataFrame:
     """Per row of vectors: vec_id, n_links, component_id, kept.
 
-    A vector is described by its ``nearest`` nearest pivots in order. It is entered in the
+    Pivots lie apart from each other, so a cluster of near vectors has one of them however
+    many vectors it holds. A vector is described by its ``nearest`` nearest pivots in order. It is entered in the
     inverted list of every ``shared`` of them, so those that share that many pivots meet; a
     meeting is a candidate, and the cosine in double precision decides. Equal vectors are one
     entry with a number of copies, and link with each other. A list beyond LIST_LIMIT rows is
@@ -211,7 +228,7 @@ def near_vectors(
         .agg(F.first("values").alias("values"), F.count("*").alias("copies"), F.min("vec_id").alias("least")),
         "vector-classes",
     )
-    points = _pivots(classes, pivots)
+    points = _pivots(classes, pivots, min_cosine - APART)
     sizes = {n: len(x) for n, x in points.items()}
     values = classes.schema["values"].dataType.simpleString()
     schema = f"list long, nearest binary, class string, copies long, values {values}"

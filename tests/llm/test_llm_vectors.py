@@ -79,5 +79,21 @@ def test_recall_near_the_threshold(spark):
     assert 0.9 * 2000 <= found <= 2000
 
 
+@pytest.mark.parametrize("share", [3, 1])
+@pytest.mark.parametrize("cosine", [0.91, 0.95])
+def test_recall_in_a_cluster(spark, share, cosine):
+    """A third of the vectors, or all, are near each other and not equal."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(1800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    center = draw.normal(size=64) / 8
+    x[: 1800 // share] = np.sqrt(cosine) * center + np.sqrt(1 - cosine) * x[: 1800 // share]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = (x @ x.T >= 0.9).sum() - len(x)
+    vectors = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = pivots.near_vectors(vectors).agg({"n_links": "sum"}).first()[0]
+    assert 0.9 * links <= found <= links
+
+
 def test_empty_table(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
