@@ -19,6 +19,8 @@ BUCKET_BITS = 18
 #: have the least hash; and the bytes of text of each class, which bound the fit's memory.
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 8 << 20
+#: The part of these bytes beyond which a text comes after all the shorter ones.
+LONG_SHARE = 1 / 64
 THRESHOLD = 0.3
 #: One sample row in so many sets slope and intercept instead of the weights.
 CALIBRATE_EVERY = 5
@@ -127,7 +129,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     The fit takes up to ``sample_rows`` rows of each class, whole texts, and up to
     SAMPLE_BYTES of text of each, so that both classes weigh alike; slope and intercept
-    are then fitted to the share of toxic rows among all of them. An id that is labelled more than once
+    are then fitted to the share of toxic rows among all of them. Texts over LONG_SHARE of
+    these bytes are passed over while there are others, and then taken from the shortest on;
+    the first text of a class is taken at any length. Ids without a document take no place. An id that is labelled more than once
     counts as toxic if any label says so. One task fits the model;
     2**BUCKET_BITS weights come to the driver. Without labels of both classes every text gets
     the share of toxic labels as its score, 0 without labels.
@@ -137,23 +141,30 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    order = F.xxhash64("doc_id")
     classes = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     prior = classes.get(1, 0) / max(sum(classes.values()), 1)
     if len(classes) < 2:
         return _flat(prior)
+
+    def order(size: Column) -> list[Column]:
+        long = F.when(size > int(SAMPLE_BYTES * LONG_SHARE), size).otherwise(0)
+        return [long, F.xxhash64("doc_id"), F.col("doc_id")]
+
+    whole = docs.select("doc_id", shared.text_or_empty().alias("text"))
+    sizes = whole.groupBy("doc_id").agg(F.min(F.octet_length("text")).alias("size"))
+    sized = stage(usable.join(sizes, "doc_id"), "toxic-sizes")
     some = [
-        usable.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample_rows) for c in (0, 1)
+        sized.where(F.col("toxic") == c).orderBy(*order(F.col("size"))).limit(sample_rows)
+        for c in (0, 1)
     ]
-    chosen = stage(some[0].unionByName(some[1]), "toxic-sample")
+    chosen = stage(some[0].unionByName(some[1]).drop("size"), "toxic-sample")
     # two classes of at most sample_rows ids: small enough to send to every task
-    texts = docs.select("doc_id", shared.text_or_empty().alias("text")).join(
-        F.broadcast(chosen), "doc_id"
-    )
-    texts = stage(texts, "toxic-texts")
-    sums = Window.partitionBy("toxic").orderBy(order, "doc_id", "text")
-    bounded = texts.withColumn("bytes", F.sum(F.octet_length("text")).over(sums)).where(
-        F.col("bytes") <= SAMPLE_BYTES
+    texts = stage(whole.join(F.broadcast(chosen), "doc_id"), "toxic-texts")
+    sums = Window.partitionBy("toxic").orderBy(*order(F.octet_length("text")), "text")
+    bounded = (
+        texts.withColumn("k", F.row_number().over(sums))
+        .withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(sums))
+        .where((F.col("bytes") <= SAMPLE_BYTES) | (F.col("k") == 1))
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             ["weights", "bias"],
         )
 
-    one = bounded.select("toxic", "bytes", "text").coalesce(1).sortWithinPartitions("toxic", "bytes")
+    one = bounded.select("toxic", "k", "text").coalesce(1).sortWithinPartitions("toxic", "k")
     found = shared.mapped(one, work, "weights binary, bias double").first()
     return Model(np.frombuffer(found.weights, np.float32), found.bias) if found else _flat(prior)
 

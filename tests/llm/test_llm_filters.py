@@ -2,6 +2,7 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from compare import connect, differences
@@ -140,6 +141,26 @@ def test_held_out_accuracy(spark):
     assert (again.weights == model.weights).all() and again.bias == model.bias
 
 
+def test_a_very_long_text_leaves_the_others_in_the_fit(spark):
+    rows, labels = toxic_rows(400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    usable = marks.where(~toxicity.held_out(marks.doc_id))
+    first = usable.where("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    longer = F.when(docs.doc_id == first, F.expr("repeat('a long text ', 800000)")).otherwise(docs.text)
+    model = toxicity.train(docs.withColumn("text", longer), marks)
+    found = toxicity.scored(docs, model).collect()
+    assert np.mean([r.predicted == labels[r.doc_id][1] for r in found]) > 0.95
+
+
+def test_a_class_of_very_long_texts_only(spark):
+    rows, labels = toxic_rows(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").where("doc_id % 5 > 0 or doc_id < 20")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    longer = F.expr("if(doc_id % 5 = 0, repeat(text, 1 + cast(9000000 / length(text) as int)), text)")
+    assert toxicity.train(docs.withColumn("text", longer), marks).weights.any()
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
