@@ -8,13 +8,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shiftpay.llm import (
+    best_fit,
     bpe,
     fingerprints,
     line_dedup,
+    negatives,
     packing,
     pivots,
     sharding,
     simhash,
+    spelling,
     suffixes,
     toxicity,
     url_filters,
@@ -109,6 +112,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.best_fit(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = [
     op1_packing,
     op2_url_filters,
@@ -120,6 +135,9 @@ _QUERIES = [
     op8_simhash,
     op9_pivots,
     op10_bpe,
+    op11_spelling,
+    op12_best_fit,
+    op13_hard_negatives,
 ]
 
 
