@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shiftpay.llm import shared
-from shiftpay.llm.shared import mapped
 from shiftpay.sources.files import stage
 
 #: What a word is made of, and the fewest letters and occurrences of one.
@@ -20,6 +19,8 @@ MIN_COUNT = 3
 TIMES = 2
 #: Runs whose digest this number divides lose a letter.
 NOISE = 97
+#: Letters from which on the other side of a bigram is looked for by halves.
+HALVED = 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -84,6 +85,27 @@ def pivots(places: list[int], weights: list[int]) -> tuple[int, int]:
     return pair
 
 
+def _keys(
+    sums: np.ndarray, side: np.ndarray, first: np.ndarray, stop: np.ndarray, size: np.ndarray, right_of: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of bigrams with the equal side ``side``, and the bigram that each belongs to.
+
+    The other side runs from ``first`` to ``stop``; ``size`` is how long it is in the word
+    that has the prefix. If that is long, the edit leaves one of its halves alone too: ``size
+    // 2`` letters beside the bigram, or the rest at the far end. So there is a key for each.
+    """
+    whole = shared.mixed(side + size.astype(np.uint64) * np.uint64(shared.BASE))
+    short, long = np.flatnonzero(size < HALVED), np.flatnonzero(size >= HALVED)
+    half = size[long] // 2
+    rest = size[long] - half
+    a, b = first[long], stop[long]
+    begin, end = (a, b - rest) if right_of else (b - half, a)
+    near = shared.mixed(shared.substring_hashes(sums, begin, begin + half))
+    far = shared.mixed(~shared.substring_hashes(sums, end, end + rest))
+    keys = [whole[short], shared.mixed(whole[long] ^ near), shared.mixed(whole[long] ^ far)]
+    return np.concatenate(keys), np.concatenate([short, long, long])
+
+
 def _grams(counts: np.ndarray):
     """Words to the keys of their prefix bigrams and, marked, of their two pivots.
 
@@ -91,7 +113,9 @@ def _grams(counts: np.ndarray):
     first ones and all others of the third's rank. A bigram that an edit leaves alone has one
     side of the word unchanged beside it, so a key is that side together with the bigram, and
     how long the other side is: this is what the position limit comes to for one edit. A
-    pivot is looked for with the other side a letter shorter, as long, and longer.
+    pivot is looked for with the other side a letter shorter, as long, and longer. Long other
+    sides are told apart further by their halves, so that frequent beginnings and ends of
+    words make no large groups.
     """
     order = np.lexsort((np.arange(1 << 16), counts))
     ranks = np.empty(1 << 16, np.int64)
@@ -123,13 +147,15 @@ def _grams(counts: np.ndarray):
             left = shared.mixed(shared.substring_hashes(sums, starts[row], at + 2))
             right = shared.mixed(~shared.substring_hashes(sums, at, ends[row]))
             keys, rows, pivot = [], [], []
-            for side, other in ((left, ends[row] - at - 2), (right, at - starts[row])):
+            for side, right_of in ((left, True), (right, False)):
                 for step in (None, -1, 0, 1):
-                    some = chosen if step is not None else np.full(len(at), True)
-                    long = (other[some] + (step or 0)).astype(np.uint64)
-                    keys.append(shared.mixed(side[some] + long * np.uint64(shared.BASE)))
-                    rows.append(row[some])
-                    pivot.append(np.full(int(some.sum()), step is not None))
+                    some = np.flatnonzero(chosen) if step is not None else np.arange(len(at))
+                    first = at[some] + 2 if right_of else starts[row[some]]
+                    stop = ends[row[some]] if right_of else at[some]
+                    found, of = _keys(sums, side[some], first, stop, stop - first + (step or 0), right_of)
+                    keys.append(found)
+                    rows.append(row[some[of]])
+                    pivot.append(np.full(len(of), step is not None))
             rows = np.concatenate(rows)
             taken = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
@@ -157,7 +183,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     work = _grams(_bigram_order(words))
     schema = "key long, pivot boolean, last long, word string, n long"
-    grams = stage(mapped(words.select("word", "n"), work, schema), "bigrams")
+    grams = stage(shared.mapped(words.select("word", "n"), work, schema), "bigrams")
     a, b = grams.where("pivot").alias("a"), grams.where("not pivot").alias("b")
     meet = (
         (F.col("a.key") == F.col("b.key"))
