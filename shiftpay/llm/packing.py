@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
-from tokenizers import Tokenizer
 
 from shiftpay.llm import shared
-from shiftpay.llm.pieces import Pieces, encoded
+from shiftpay.llm.encoder import encoder
 from shiftpay.sources.files import stage
 
 WINDOW = 2048
@@ -25,42 +21,12 @@ WINDOW = 2048
 END = 1
 
 
-@lru_cache(1)
-def _pieces(path: str) -> Pieces:
-    """Ids as the tokenizers library gives them for this file.
-
-    Where the file's ids follow the order of its merges, as ranks do, the merging itself is
-    done by tiktoken, which gives the same ids in about a tenth of the time for short pieces.
-    """
-    with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
-    ids = model["vocab"]
-    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    letters = [i for i in range(256) if chr(i).isprintable() and i not in (32, 160, 173)]
-    letter = {chr(b): b for b in letters}
-    others = (b for b in range(256) if b not in letters)
-    letter |= {chr(256 + i): b for i, b in enumerate(others)}
-    made = [ids.get(a + b, -1) for a, b in merges]
-    if all(x < y for x, y in zip(made, made[1:])) and made[0] >= 256 and len(ids) == 256 + len(made):
-        ranks = {bytes(letter[c] for c in token): i for token, i in ids.items()}
-        coder = tiktoken.Encoding(
-            "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-        one = coder.encode_ordinary
-        return Pieces(lambda new: [np.array(one(p), "<u4").tobytes() for p in new])
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Pieces(
-        lambda new: [
-            np.array(e.ids, "<u4").tobytes()
-            for e in tokenizer.encode_batch(new, add_special_tokens=False)
-        ]
-    )
-
-
 def tokenized(docs: DataFrame, path: str, end: int = END, columns: list[str] | None = None) -> DataFrame:
     """``columns`` of docs, ids as 32-bit numbers with ``end`` after them, and first sums.
 
+    The ids are those that the tokenizers library gives for the file ``path``, whatever its
+    rules; strings of added tokens in a text get the added tokens' ids.
+
     ``tokens_before`` counts the ids of earlier rows in the same task ``task``: the first
     pass of the prefix sums.
     """
@@ -70,24 +36,28 @@ def tokenized(docs: DataFrame, path: str, end: int = END, columns: list[str] | N
     schema = T.StructType(rows.drop("text").schema.fields).add("ids", "binary")
     for name in names[1:]:
         schema = schema.add(name, "long")
-    last = np.array([end], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, before = TaskContext.get().partitionId(), 0
-        for batch, found in encoded(_pieces(path), batches):
-            ids = [x + last for x in found]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        for batch in shared.text_slices(batches, "text"):
+            found, places = encoder(path).ids(batch.column("text"))
+            data = np.insert(found, places[1:], end).astype("<u4")
+            places = places + np.arange(len(places))  # each text has one id more
+            sizes = np.diff(places)
+            ids = pa.Array.from_buffers(
+                pa.binary(), len(sizes), [None, *map(pa.py_buffer, ((4 * places).astype(np.int32), data))]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-1],
-                    pa.array(ids, pa.binary()),
+                    ids,
                     pa.array(sizes),
-                    pa.array(np.full(len(ids), task, np.int64)),
-                    pa.array(before + np.cumsum(sizes) - sizes),
+                    pa.array(np.full(len(sizes), task, np.int64)),
+                    pa.array(before + places[:-1]),
                 ],
                 names=schema.names,
             )
-            before += int(sizes.sum())
+            before += int(places[-1])
 
     return shared.mapped(rows, work, schema)
 

@@ -30,9 +30,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(JSON)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(JSON)
 
 
 def texts(n: int) -> list[str]:
@@ -44,13 +42,11 @@ def plain(raw: bytes) -> list[int]:
     return np.frombuffer(raw, "<u4").tolist()
 
 
-def test_ids_equal_the_libraries(library, tokenizer):
+def test_ids_equal_the_library(library):
     some = texts(1500)
     own = bpe._pieces(RANKS, public_tokenizers.PATTERN).ids(some)
-    packed = packing._pieces(JSON).ids(some)
-    for text, a, b in zip(some, own, packed):
+    for text, a in zip(some, own):
         assert plain(a) == library.encode_ordinary(text)
-        assert plain(b) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_appends_and_edits_equal_encoding_anew():
