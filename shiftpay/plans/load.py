@@ -1,26 +1,36 @@
-"""One load of raw shifts into the stored tables, shared by batch runs and streams."""
+"""One load of raw shifts into the stored tables, shared by batch runs and streams.
+
+A load reads the tables as one commit left them, writes what it adds to folders that nothing
+reads yet, and commits shifts, errors, ids and payroll weeks at once. If another load
+committed in the meantime, what was written still holds unless both met an id or touched a
+payroll week: then it is written anew, from the newer tables on. So loads may overlap, no
+shift is lost or stored twice, and payroll always equals the stored shifts.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from shiftpay import schemas
 from shiftpay.functions.columns import week_of
 from shiftpay.operators import pay, quality
-from shiftpay.sources import files, sinks
+from shiftpay.sources import commits, files, sinks
+from shiftpay.sources.commits import State
 
 
 @dataclass
 class Load:
-    """What a load produced: its frames, from staged files, and the rows per table.
+    """What a load produced: its number, its frames, from staged files, and rows per table.
 
     ``weeks`` is the payroll of every employee and week that the load touched, over all
     stored shifts. ``discard`` deletes the staged files once the frames are done with.
     """
 
+    number: int
     validated: DataFrame
     logs: DataFrame
     weeks: DataFrame
@@ -33,71 +43,59 @@ class Load:
         files.remove(self.validated.sparkSession, self.folder)
 
 
-def seen_ids(root: str, raw: DataFrame, batch_id: int) -> DataFrame | None:
-    """Ids of ``raw`` that an earlier load met, clean or flagged; None before the first.
+def seen_ids(root: str, raw: DataFrame, attempts: list[str]) -> DataFrame | None:
+    """Ids of ``raw`` that these attempts met, clean or flagged; None without any attempt.
 
-    The tables' ids are reduced to those of this load before anything else, so what
-    is joined on is no larger than the load.
+    Only buckets that hold ids of this load are read, and their ids are reduced to those of
+    the load before anything else, so what is joined on is no larger than the load.
     """
-    spark = raw.sparkSession
-    if not files.folders(spark, f"{root}/time_logs") and not files.folders(
-        spark, f"{root}/validation_errors"
-    ):
+    if not attempts:
         return None
-    stored = [
-        table.filter(F.col("batch_id") < batch_id).select("log_id")
-        for table in (sinks.time_logs(spark, root), sinks.validation_errors(spark, root))
-    ]
-    ids = raw.select("log_id").distinct().alias("i")
-    return (
-        stored[0].unionByName(stored[1]).alias("s")
-        .join(ids, F.col("s.log_id").eqNullSafe(F.col("i.log_id")), "left_semi")
-        .distinct()
-    )
+    ids = raw.select("log_id").distinct()
+    stored = sinks.stored_ids(raw.sparkSession, root, attempts, ids).alias("s")
+    same = F.col("s.log_id").eqNullSafe(F.col("i.log_id"))
+    return stored.join(ids.alias("i"), same, "left_semi").distinct()
 
 
-def touched_logs(root: str, logs: DataFrame, batch_id: int) -> DataFrame:
-    """Stored shifts, of all loads so far, of each (employee, week) in ``logs``.
+def touched_logs(root: str, logs: DataFrame, base: State) -> DataFrame:
+    """Shifts stored before, and ``logs``, of each (employee, week) in ``logs``.
 
     Only the months those weeks reach into are read.
     """
     week = week_of(F.col("log_date"))
+    columns = schemas.names(schemas.TIME_LOGS)
     touched = logs.select("employee_id", week.alias("week")).distinct()
-    days = touched.select(
-        F.explode(F.array("week", F.date_add("week", 6))).alias("log_date")
-    )
+    days = touched.select(F.explode(F.array("week", F.date_add("week", 6))).alias("log_date"))
     in_months = sinks.any_of(sinks.with_month(days), "log_month")
-    stored = sinks.time_logs(logs.sparkSession, root).filter(
-        in_months & (F.col("batch_id") <= batch_id)
-    )
-    return (
-        stored.withColumn("week", week)
-        .join(touched, ["employee_id", "week"], "left_semi")
-        .select(*schemas.names(schemas.TIME_LOGS))
-    )
+    stored = sinks.time_logs(logs.sparkSession, root, base).filter(in_months)
+    earlier = stored.withColumn("week", week).join(touched, ["employee_id", "week"], "left_semi")
+    return earlier.select(*columns).unionByName(logs.select(*columns))
 
 
-def load_raw(
+@dataclass
+class _Written:
+    """What an attempt wrote for one state of the tables."""
+
+    attempt: str
+    number: int
+    load: Load
+    weeks: set[str]
+
+
+def _write(
     root: str,
     raw: DataFrame,
     ingest_order: list[str],
-    batch_id: int,
+    base: State,
+    number: int,
     run_id: str,
     now: datetime,
-    known_are_errors: bool = True,
-    stream: str | None = None,
-    part: int | None = None,
-) -> Load:
-    """Validate, compute pay, insert, and bring the touched payroll weeks up to date.
-
-    Ids that an earlier load met are duplicates (a stream of new files), or with
-    ``known_are_errors`` off they are passed over (a batch run over a folder that grows),
-    and only repeats within the load count. Running the same ``batch_id`` again gives the
-    same tables.
-    """
-    spark = raw.sparkSession
-    folder = files.new_folder(spark, "load")
-    earlier = seen_ids(root, raw, batch_id)
+    known_are_errors: bool,
+    folder: str,
+) -> _Written:
+    spark, attempt = raw.sparkSession, sinks.new_attempt()
+    folder = f"{folder}/{attempt}"
+    earlier = seen_ids(root, raw, list(base.ids.values()))
     seen = None if earlier is None else files.stage_in(earlier, f"{folder}/seen")
     if seen is None or known_are_errors:
         judged = quality.validate(raw, ingest_order, seen)
@@ -109,22 +107,123 @@ def load_raw(
     logs = pay.transform(quality.clean_logs(validated))
     # no id of these is in an earlier load, so nothing needs to be looked up once more
     inserted = sinks.write_logs(
-        logs.select(*schemas.names(schemas.TIME_LOGS)), f"{root}/time_logs/batch_id={batch_id}"
+        logs.select(*schemas.names(schemas.TIME_LOGS)),
+        f"{root}/time_logs/{sinks.load_folder(number, attempt)}",
     )
     errors = quality.validation_errors(validated, run_id, now)
-    has_errors = sinks.load_errors(root, errors, batch_id)
+    has_errors = sinks.load_errors(root, errors, number, attempt)
+    sinks.write_ids(root, validated, attempt)
     # A first load has no other shifts of its weeks to look up.
-    touched = logs if seen is None else touched_logs(root, logs, batch_id)
+    touched = touched_logs(root, logs, base) if base.logs else logs
     summary = pay.payroll_summary(touched)
-    payroll_rows = sinks.load_payroll(root, summary, now)
-    metrics = quality.run_metrics(validated).withColumn("run_id", F.lit(run_id))
-    sinks.finish_load(root, metrics, batch_id, stream, part)
-    return Load(
-        validated=validated,
-        logs=logs,
-        weeks=summary,
-        folder=folder,
-        logs_inserted=inserted,
-        payroll_rows=payroll_rows,
-        has_errors=has_errors,
-    )
+    rows, weeks = sinks.write_payroll(root, summary, now, base, attempt)
+    load = Load(number, validated, logs, summary, folder, inserted, rows, has_errors)
+    return _Written(attempt, number, load, weeks)
+
+
+def _remove(root: str, written: _Written) -> None:
+    """Delete what an attempt wrote to the tables."""
+    spark, own = written.load.validated.sparkSession, f"attempt={written.attempt}"
+    for table in ("time_logs", "validation_errors"):
+        files.remove(spark, f"{root}/{table}/batch_id={written.number}/{own}")
+    for table in ("log_ids", "payroll_summary"):
+        files.remove(spark, f"{root}/{table}/{own}")
+    written.load.discard()
+
+
+def _renumber(root: str, written: _Written, number: int) -> None:
+    """Give the folders of a load its number, where another load took the one they have."""
+    spark, load = written.load.validated.sparkSession, written.load
+    if number != written.number:
+        for table, some in (("time_logs", True), ("validation_errors", load.has_errors)):
+            if some:
+                old, new = (sinks.load_folder(n, written.attempt) for n in (written.number, number))
+                files.move(spark, f"{root}/{table}/{old}", f"{root}/{table}/{new}")
+    written.number = load.number = number
+
+
+def load_raw(
+    root: str,
+    raw: DataFrame,
+    ingest_order: list[str],
+    batch_id: int | None,
+    run_id: str,
+    now: datetime,
+    known_are_errors: bool = True,
+    stream: str | None = None,
+    part: int | None = None,
+    before_commit: Callable[[], None] | None = None,
+) -> Load:
+    """Validate, compute pay, insert, and bring the touched payroll weeks up to date.
+
+    Ids that an earlier load met are duplicates (a stream of new files), or with
+    ``known_are_errors`` off they are passed over (a batch run over a folder that grows),
+    and only repeats within the load count.
+
+    The load gets the next number when it commits. With ``batch_id`` it asks for that one;
+    if the tables have a load of that number and run already, nothing is done, and the load
+    returned is empty. ``before_commit`` is called when everything is written and nothing
+    shows yet. A load that fails leaves nothing that readers see.
+    """
+    spark = raw.sparkSession
+    folder = files.new_folder(spark, "load")
+    written = None
+
+    def committed(state: State) -> bool:
+        known = state.loads.get(batch_id)
+        return known is not None and known["run"] == run_id
+
+    def number_in(state: State) -> int:
+        wanted = batch_id if batch_id is not None else state.next_load
+        return wanted if wanted > max(state.loads, default=-1) else state.next_load
+
+    def change(state: State) -> State:
+        _renumber(root, written, number_in(state))
+        number, load = written.number, written.load
+        record = {"run": run_id, "at": now.isoformat(), "stream": stream, "part": part, "counts": counts}
+        changed = replace(
+            state,
+            loads=state.loads | {number: record},
+            logs=state.logs | ({number: written.attempt} if load.logs_inserted else {}),
+            errors=state.errors | ({number: written.attempt} if load.has_errors else {}),
+            ids=state.ids | {number: written.attempt},
+        )
+        return sinks.with_weeks(changed, written.weeks, written.attempt)
+
+    def holds(state: State) -> bool:
+        """Whether what was written is right beside the loads that came in between."""
+        if committed(state) or not sinks.same_weeks(base, state, written.weeks):
+            return False
+        between = [a for n, a in state.ids.items() if base.ids.get(n) != a]
+        met = seen_ids(root, raw, between)
+        return met is None or met.isEmpty()
+
+    try:
+        while True:
+            base = commits.latest(spark, root)
+            if committed(base):
+                return _nothing(raw, base, batch_id, folder)
+            written = _write(
+                root, raw, ingest_order, base, number_in(base), run_id, now, known_are_errors, folder
+            )
+            counts = {k: str(v) for k, v in quality.run_metrics(written.load.validated).first().asDict().items()}
+            if before_commit:
+                before_commit()
+            if commits.commit(spark, root, base, change, holds):
+                written.load.folder = folder
+                return written.load
+            _remove(root, written)
+            written = None
+    except BaseException:
+        if written:
+            _remove(root, written)
+        files.remove(spark, folder)
+        raise
+
+
+def _nothing(raw: DataFrame, base: State, number: int, folder: str) -> Load:
+    """A load that the tables have already."""
+    spark = raw.sparkSession
+    judged = T.StructType([*raw.schema.fields, T.StructField("error_reason", T.StringType())])
+    none = [spark.createDataFrame([], s) for s in (judged, schemas.TIME_LOGS, schemas.PAYROLL)]
+    return Load(number, *none, folder, 0, 0, number in base.errors)

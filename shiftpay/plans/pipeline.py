@@ -31,7 +31,6 @@ def run_pipeline(
     started = datetime.now(timezone.utc)
     clock = time.monotonic()
     run_id = started.strftime("%Y%m%d_%H%M%S")
-    batch_id = sinks.next_batch(spark, root)
     directory = [c for c in employees.columns if not c.startswith("_")]
 
     seconds = {}
@@ -48,37 +47,41 @@ def run_pipeline(
     load = timed(
         "load",
         lambda: load_raw(
-            root, raw, ingest_order, batch_id, run_id, started, known_are_errors=False
+            root, raw, ingest_order, None, run_id, started, known_are_errors=False
         ),
     )
+    batch_id = load.number
 
-    def export():
-        sinks.write_csv(load.logs, f"{root}/export/time_logs")
-        sinks.write_csv(pay.payroll_summary(load.logs), f"{root}/export/payroll_summary")
-        sinks.write_csv(employees.select(*directory), f"{root}/export/employees")
+    try:
 
-    if csv_export:
-        timed("export", export)
+        def export():
+            sinks.write_csv(load.logs, f"{root}/export/time_logs")
+            sinks.write_csv(pay.payroll_summary(load.logs), f"{root}/export/payroll_summary")
+            sinks.write_csv(employees.select(*directory), f"{root}/export/employees")
 
-    upload = sinks.Upload({})
-    if warehouse:
-        upload = timed(
-            "upload",
-            lambda: sinks.upload_all(
-                warehouse, load.logs, load.weeks, employees.select(*directory), batch_id, started
-            ),
-        )
+        if csv_export:
+            timed("export", export)
+
+        upload = sinks.Upload({})
+        if warehouse:
+            upload = timed(
+                "upload",
+                lambda: sinks.upload_all(
+                    warehouse, load.logs, load.weeks, employees.select(*directory), batch_id, started
+                ),
+            )
 
-    counts = timed(
-        "metrics",
-        lambda: quality.run_metrics(load.validated)
-        .select(
-            F.struct("*").alias("validate"),
-            pay.run_totals(load.logs).select(F.struct("*")).scalar().alias("transform"),
+        counts = timed(
+            "metrics",
+            lambda: quality.run_metrics(load.validated)
+            .select(
+                F.struct("*").alias("validate"),
+                pay.run_totals(load.logs).select(F.struct("*")).scalar().alias("transform"),
+            )
+            .toArrow(),
         )
-        .toArrow(),
-    )
-    load.discard()
+    finally:
+        load.discard()
     durations = [
         F.lit(seconds.get(s)).cast("double").alias(s)
         for s in ("employees", "load", "export", "upload", "metrics")

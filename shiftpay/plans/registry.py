@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import datetime
 from functools import reduce
 from pathlib import Path
@@ -260,8 +261,8 @@ def mixed_loads(t: Tables) -> DataFrame:
         ).awaitTermination()
 
     load_raw(
-        tables, raw.filter("k1 % 3 = 0"), timeclock.INGEST_ORDER, sinks.next_batch(spark, tables),
-        "run", _NOW, known_are_errors=False,
+        tables, raw.filter("k1 % 3 = 0"), timeclock.INGEST_ORDER, None, "run", _NOW,
+        known_are_errors=False,
     ).discard()
     for part in (1, 2):
         raw.filter(F.col("k1") % 3 == part).write.mode("append").parquet(f"{folder}/raw")
@@ -270,6 +271,43 @@ def mixed_loads(t: Tables) -> DataFrame:
     return sinks.time_logs(spark, tables).select(*schemas.names(schemas.TIME_LOGS))
 
 
+class _Lost(Exception):
+    """A load that breaks off."""
+
+
+@query
+def overlapping_loads(t: Tables) -> DataFrame:
+    """Stored shifts and payroll, by employee and week, after loads that overlap.
+
+    The second load begins before the first one does and commits after it. The third breaks
+    off when all of it is written, and is repeated.
+    """
+    spark, raw = t.spark, t.raw()
+    tables = f"{files.new_folder(spark, 'overlapping')}/tables"
+
+    def load(part: int, before_commit=None) -> None:
+        load_raw(
+            tables, raw.filter(F.col("k1") % 3 == part), timeclock.INGEST_ORDER, None, f"run {part}",
+            _NOW, before_commit=before_commit,
+        ).discard()
+
+    def lose() -> None:
+        raise _Lost
+
+    meanwhile = iter([lambda: load(0)])
+    load(1, lambda: next(meanwhile, lambda: None)())
+    with suppress(_Lost):
+        load(2, lose)
+    load(2)
+    stored = pay.fold_payroll(pay.payroll_summary(sinks.time_logs(spark, tables)))
+    shown = ["employee_id", "week_start"]
+    return (
+        sinks.payroll(spark, tables)
+        .join(stored.select(*shown, F.col("num_shifts").alias("stored_shifts")), shown, "full")
+        .select(*shown, "stored_shifts", "num_shifts", "total_hours", "total_overtime", "total_gross_pay")
+    )
+
+
 def _two_runs(t: Tables, first: DataFrame, second: DataFrame) -> tuple[str, str]:
     """Folders of the tables and of the warehouse after two batch runs."""
     folder = files.new_folder(t.spark, "runs")

@@ -1,25 +1,26 @@
 """Writers and idempotent loads of the stored tables.
 
-Layout below a warehouse folder:
-
-    employees/version=N            whole directory; the highest finished N counts
-    time_logs/batch_id=K/log_month=...      rows inserted by load K
-    validation_errors/batch_id=K            rows flagged by load K
-    payroll_summary/week_start=...          one row per employee and week
-    loads/batch_id=K                        counts of load K, written when it is done
-
-Batch runs and micro-batches of streams take their number from ``loads``, one above the
-highest finished one, so no load can replace what another one finished. The row in loads
-says which micro-batch of which stream it was; one that is played again after it finished
-is passed over. A load that broke off has no row there; the next one takes its number and
-replaces what it left, so it is to be repeated before any other.
+Layout below a warehouse folder, where an attempt is one try to write something:
+
+    commits/K.json                                  which of the folders below count
+    employees/attempt=A                             whole directory
+    time_logs/batch_id=N/attempt=A/log_month=...    rows inserted by load N
+    validation_errors/batch_id=N/attempt=A          rows flagged by load N
+    log_ids/attempt=A/bucket=...                    ids that a load met, clean or flagged
+    payroll_summary/attempt=A                       one row per employee and week
+
+Readers see what the last commit names, so a load shows with all its shifts, errors and
+payroll weeks or not at all. Loads may overlap and may break off: one that finds another
+commit in its way goes on from there, see ``commits`` and ``plans.load``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, replace
+from datetime import date, datetime
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from shiftpay import schemas
 from shiftpay.operators import merge
 from shiftpay.operators.pay import fold_payroll
-from shiftpay.sources import files
-from shiftpay.sources.readers import read_table
+from shiftpay.sources import commits, files
+from shiftpay.sources.commits import State
 
 _LOG_TABLE = schemas.with_fields(
     schemas.TIME_LOGS, batch_id=T.LongType(), log_month=T.StringType()
@@ -98,29 +99,89 @@ def write_errors(errors: DataFrame, path: str) -> bool:
 
 # --- stored tables -----------------------------------------------------------
 
+#: Folders that the ids of a load are dealt to, so that a small load reads few of them.
+ID_BUCKETS = 32
+_ID_TABLE = T.StructType().add("log_id", T.StringType()).add("bucket", T.IntegerType())
+#: Name of the week of shifts without a date.
+_NO_WEEK = "none"
+#: Months or buckets of a load by which a table is pruned, at most.
+MOST_VALUES = 1000
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    names = files.folders(spark, f"{root}/employees")
-    numbers = [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
-    return sorted(n for n in numbers if files.finished(spark, f"{root}/employees/version={n}"))
+
+def new_attempt() -> str:
+    return f"a{uuid.uuid4().hex}"
+
+
+def _read(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, folders: list[str]
+) -> DataFrame:
+    """Rows of the named folders of a table."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    base = f"{root}/{table}"
+    rows = spark.read.schema(schema).option("basePath", base)
+    return rows.parquet(*[f"{base}/{f}" for f in folders]).select(*schema.names)
+
+
+def load_folder(number: int, attempt: str) -> str:
+    return f"batch_id={number}/attempt={attempt}"
+
+
+def _by_load(named: dict[int, str]) -> list[str]:
+    return [load_folder(n, a) for n, a in named.items()]
 
 
 def employees(spark: SparkSession, root: str) -> DataFrame:
-    versions = _versions(spark, root)
-    last = versions[-1] if versions else 0
-    return read_table(spark, f"{root}/employees/version={last}", schemas.EMPLOYEE_TABLE)
+    return _employees(spark, root, commits.latest(spark, root))
+
+
+def _employees(spark: SparkSession, root: str, state: State) -> DataFrame:
+    folders = [f"attempt={state.employees}"] if state.employees else []
+    return _read(spark, root, "employees", schemas.EMPLOYEE_TABLE, folders)
 
 
-def time_logs(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/time_logs", _LOG_TABLE)
+def time_logs(spark: SparkSession, root: str, state: State | None = None) -> DataFrame:
+    state = state or commits.latest(spark, root)
+    return _read(spark, root, "time_logs", _LOG_TABLE, _by_load(state.logs))
 
 
 def validation_errors(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/validation_errors", _ERROR_TABLE)
+    errors = commits.latest(spark, root).errors
+    return _read(spark, root, "validation_errors", _ERROR_TABLE, _by_load(errors))
+
+
+def payroll(
+    spark: SparkSession, root: str, state: State | None = None, weeks: set[str] | None = None
+) -> DataFrame:
+    """Payroll, of all weeks or of those named."""
+    state = state or commits.latest(spark, root)
+    held: dict[str, list[str]] = {}
+    for week, attempt in state.weeks.items():
+        if weeks is None or week in weeks:
+            held.setdefault(attempt, []).append(week)
+    # which weeks of an attempt count is a filter that skips files and row groups
+    schema = schemas.with_fields(schemas.PAYROLL_TABLE, attempt=T.StringType())
+    rows = _read(spark, root, "payroll_summary", schema, [f"attempt={a}" for a in held])
+    counts = [(F.col("attempt") == a) & _in_weeks(some) for a, some in held.items()]
+    return rows.filter(reduce(Column.__or__, counts, F.lit(False))).drop("attempt")
 
 
-def payroll(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/payroll_summary", schemas.PAYROLL_TABLE)
+def _in_weeks(weeks: list[str]) -> Column:
+    known = F.col("week_start").isin(*[date.fromisoformat(w) for w in weeks if w != _NO_WEEK])
+    return known | F.col("week_start").isNull() if _NO_WEEK in weeks else known
+
+
+def id_bucket(column: str = "log_id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS)).cast("int")
+
+
+def stored_ids(spark: SparkSession, root: str, attempts: list[str], like: DataFrame) -> DataFrame:
+    """(log_id) that these attempts met, from the buckets that ``like`` (log_id) has ids in.
+
+    The list of buckets has ID_BUCKETS entries at most.
+    """
+    ids = _read(spark, root, "log_ids", _ID_TABLE, [f"attempt={a}" for a in attempts])
+    return ids.filter(any_of(like.select(id_bucket().alias("bucket")), "bucket")).select("log_id")
 
 
 # --- loads -------------------------------------------------------------------
@@ -129,101 +190,156 @@ def payroll(spark: SparkSession, root: str) -> DataFrame:
 def load_employees(
     root: str, source: DataFrame, now: datetime, order_by: list[str] | None = None
 ) -> int:
-    """Merge ``source`` into the directory as a new version; employees added or updated."""
+    """Merge ``source`` into the directory; employees added or updated."""
     spark = source.sparkSession
-    merged = merge.upsert_employees(employees(spark, root), source, now, order_by)
-    path = f"{root}/employees/version={max(_versions(spark, root), default=0) + 1}"
-    write_table(merged, path)
-    return spark.read.parquet(path).filter(F.col("updated_at") == F.lit(now).cast("timestamp")).count()
+    while True:
+        base, attempt = commits.latest(spark, root), new_attempt()
+        merged = merge.upsert_employees(_employees(spark, root, base), source, now, order_by)
+        path = f"{root}/employees/attempt={attempt}"
+        write_table(merged, path)
+        if commits.commit(
+            spark, root, base,
+            lambda state, a=attempt: replace(state, employees=a),
+            lambda state, b=base: state.employees == b.employees,
+        ):
+            touched = F.col("updated_at") == F.lit(now).cast("timestamp")
+            return spark.read.parquet(path).filter(touched).count()
+        files.remove(spark, path)
 
 
 def load_time_logs(
     root: str, logs: DataFrame, batch_id: int, order_by: list[str] | None = None
 ) -> int:
-    """Insert shifts whose log_id no earlier load inserted; rows really inserted."""
-    stored = time_logs(logs.sparkSession, root).filter(F.col("batch_id") < batch_id)
-    absent = merge.absent_logs(stored, logs, order_by).select(*schemas.names(schemas.TIME_LOGS))
-    return write_logs(absent, f"{root}/time_logs/batch_id={batch_id}")
+    """Insert shifts whose log_id no earlier load inserted; rows really inserted.
+
+    The rows replace those of an earlier load ``batch_id``.
+    """
+    spark = logs.sparkSession
+    while True:
+        base, attempt = commits.latest(spark, root), new_attempt()
+        stored = time_logs(spark, root, base).filter(F.col("batch_id") < batch_id)
+        absent = merge.absent_logs(stored, logs, order_by)
+        path = f"{root}/time_logs/{load_folder(batch_id, attempt)}"
+        rows = write_logs(absent.select(*schemas.names(schemas.TIME_LOGS)), path)
+        if commits.commit(
+            spark, root, base,
+            lambda state, a=attempt, n=rows: replace(state, logs=_with_load(state.logs, batch_id, a, n)),
+            lambda state, b=base: state.logs == b.logs,
+        ):
+            return rows
+        files.remove(spark, path)
 
 
-def load_errors(root: str, errors: DataFrame, batch_id: int) -> bool:
-    return write_errors(errors, f"{root}/validation_errors/batch_id={batch_id}")
+def _with_load(named: dict[int, str], number: int, attempt: str, rows: int) -> dict[int, str]:
+    """``named`` with the attempt of a load; one without rows has no folder to read."""
+    rest = {n: a for n, a in named.items() if n != number}
+    return rest | ({number: attempt} if rows else {})
 
 
-def finish_load(
-    root: str, metrics: DataFrame, batch_id: int, stream: str | None = None, part: int | None = None
-) -> None:
-    """Record that load ``batch_id`` is complete, with its counts and, of a micro-batch,
-    the stream and its own number there."""
-    origin = [F.lit(stream).cast("string").alias("stream"), F.lit(part).cast("long").alias("part")]
-    metrics.select("*", *origin).write.mode("overwrite").parquet(f"{root}/loads/batch_id={batch_id}")
+def load_errors(root: str, errors: DataFrame, batch_id: int, attempt: str) -> bool:
+    """Write the rows flagged by an attempt to make load ``batch_id``."""
+    return write_errors(errors, f"{root}/validation_errors/{load_folder(batch_id, attempt)}")
 
 
-def _finished(spark: SparkSession, root: str) -> list[int]:
-    names = files.folders(spark, f"{root}/loads")
-    numbers = [int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")]
-    return sorted(n for n in numbers if files.finished(spark, f"{root}/loads/batch_id={n}"))
+def write_ids(root: str, rows: DataFrame, attempt: str) -> None:
+    """Write the ids of a load by bucket."""
+    ids = rows.select("log_id", id_bucket().alias("bucket")).distinct()
+    path = f"{root}/log_ids/attempt={attempt}"
+    ids.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
 
 
 def next_batch(spark: SparkSession, root: str) -> int:
-    """Number for a load: one above the highest finished one."""
-    return max(_finished(spark, root), default=0) + 1
+    """Number that the next load gets: one above the highest committed one."""
+    return commits.latest(spark, root).next_load
 
 
 def was_loaded(spark: SparkSession, root: str, stream: str, part: int) -> bool:
-    """Whether this micro-batch of this stream is a finished load already."""
-    done = [f"{root}/loads/batch_id={n}" for n in _finished(spark, root)]
-    if not done:
-        return False
-    loads = spark.read.schema("stream string, part bigint").parquet(*done)
-    return not loads.filter((F.col("stream") == stream) & (F.col("part") == part)).isEmpty()
+    """Whether this micro-batch of this stream is a committed load already."""
+    loads = commits.latest(spark, root).loads.values()
+    return any(x["stream"] == stream and x["part"] == part for x in loads)
 
 
 def run_errors(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
-    """Rows flagged by one load, the last finished one by default."""
+    """Rows flagged by one load, the last committed one by default."""
     wanted = next_batch(spark, root) - 1 if batch_id is None else batch_id
     return validation_errors(spark, root).filter(F.col("batch_id") == wanted)
 
 
-def load_payroll(root: str, summary: DataFrame, now: datetime) -> int:
-    """Upsert payroll rows; only the weeks in ``summary`` are read and rewritten.
+def write_payroll(
+    root: str, summary: DataFrame, now: datetime, base: State, attempt: str
+) -> tuple[int, set[str]]:
+    """Write the weeks in ``summary`` as they are after its rows are upserted into the
+    payroll of ``base``; rows inserted or updated, and the weeks.
 
-    The merged weeks are staged first: the weeks in the table are replaced from
-    finished files, never from a read of themselves. Returns the rows inserted or updated.
+    Only these weeks are read. They go to few files, each of some weeks in order, whatever
+    the number of weeks; rows of these weeks in older files no longer count. The driver keeps
+    the names of the weeks, as many as the calendar has.
     """
     spark = summary.sparkSession
     folder = files.new_folder(spark, "payroll")
-    dated = fold_payroll(summary).withColumn("created_at", F.lit(now).cast("timestamp"))
-    loaded = files.stage_in(dated, f"{folder}/loaded")
-    merged = loaded
-    if files.exists(spark, f"{root}/payroll_summary"):
-        old = payroll(spark, root).filter(any_of(loaded, "week_start"))
-        merged = files.stage_in(merge.upsert_payroll(old, loaded), f"{folder}/merged")
-    _replace_weeks(root, merged)
-    rows = loaded.count()
-    files.remove(spark, folder)
-    return rows
-
-
-def _replace_weeks(root: str, rows: DataFrame) -> None:
-    (
-        rows.select(*schemas.names(schemas.PAYROLL_TABLE))
-        .hint("rebalance", "week_start")
-        .sortWithinPartitions("week_start", "employee_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("week_start")
-        .parquet(f"{root}/payroll_summary")
-    )
+    try:
+        dated = fold_payroll(summary).withColumn("created_at", F.lit(now).cast("timestamp"))
+        loaded = files.stage_in(dated, folder)
+        weeks = {str(r[0] or _NO_WEEK) for r in loaded.select("week_start").distinct().collect()}
+        if not weeks:
+            return 0, weeks
+        merged = loaded
+        if base.weeks.keys() & weeks:
+            merged = merge.upsert_payroll(payroll(spark, root, base, weeks), loaded)
+        (
+            merged.select(*schemas.names(schemas.PAYROLL_TABLE))
+            .hint("rebalance", "week_start")
+            .sortWithinPartitions("week_start", "employee_id")
+            .write.parquet(f"{root}/payroll_summary/attempt={attempt}")
+        )
+        return _stored_rows(spark, folder), weeks
+    finally:
+        files.remove(spark, folder)
+
+
+def with_weeks(state: State, weeks: set[str], attempt: str) -> State:
+    return replace(state, weeks=state.weeks | dict.fromkeys(weeks, attempt))
+
+
+def same_weeks(a: State, b: State, weeks: set[str]) -> bool:
+    return all(a.weeks.get(w) == b.weeks.get(w) for w in weeks)
+
+
+def load_payroll(root: str, summary: DataFrame, now: datetime) -> int:
+    """Upsert payroll rows; rows inserted or updated.
+
+    The merged weeks go to folders of their own, and count from the commit on.
+    """
+    spark = summary.sparkSession
+    while True:
+        base, attempt = commits.latest(spark, root), new_attempt()
+        rows, weeks = write_payroll(root, summary, now, base, attempt)
+        if not weeks or commits.commit(
+            spark, root, base,
+            lambda state, w=weeks, a=attempt: with_weeks(state, w, a),
+            lambda state, b=base, w=weeks: same_weeks(state, b, w),
+        ):
+            return rows
+        files.remove(spark, f"{root}/payroll_summary/attempt={attempt}")
+
+
+def _few(rows: DataFrame, column: str) -> list | None:
+    """The values of ``column``; None if there are more than MOST_VALUES."""
+    values = rows.select(column).distinct().limit(MOST_VALUES + 1).collect()
+    return [row[0] for row in values] if len(values) <= MOST_VALUES else None
 
 
 def any_of(rows: DataFrame, column: str) -> Column:
-    """Condition on the calendar values of ``column`` in ``rows``, for partition pruning.
+    """Condition on the values of ``column`` in ``rows``, for partition pruning.
 
-    The list is as long as the load has weeks or months, whatever its row count.
+    The list is as long as the load has months or buckets, whatever its row count; where
+    wrong dates make it longer than MOST_VALUES, everything passes and joins decide.
     """
-    values = [row[0] for row in rows.select(column).distinct().collect()]
-    return F.col(column).isin(values)
+    values = _few(rows, column)
+    if values is None:
+        return F.lit(True)
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
 
 
 # --- warehouse loads ---------------------------------------------------------
@@ -238,7 +354,9 @@ def without_zone(rows: DataFrame) -> DataFrame:
 def upload(rows: DataFrame, path: str, mode: str = APPEND) -> int:
     """Load a table of the warehouse by write mode; rows written.
 
-    WRITE_EMPTY refuses a target that has rows.
+    WRITE_EMPTY refuses a target that has rows. WRITE_TRUNCATE writes the new table beside
+    the old one, which stays readable and whole until it is replaced, and for good if the
+    write fails.
     """
     spark = rows.sparkSession
     if mode not in (APPEND, TRUNCATE, EMPTY):
@@ -246,7 +364,17 @@ def upload(rows: DataFrame, path: str, mode: str = APPEND) -> int:
     if mode == EMPTY and files.exists(spark, path):
         if not spark.read.parquet(path).isEmpty():
             raise ValueError(f"{path} is not empty")
-    return write_table(without_zone(rows), path, "overwrite" if mode == TRUNCATE else "append")
+    files.recover(spark, path)
+    if mode != TRUNCATE:
+        return write_table(without_zone(rows), path, "append")
+    head, _, name = path.rstrip("/").rpartition("/")
+    beside = f"{head}/_new_{name}_{uuid.uuid4().hex}"
+    try:
+        written = write_table(without_zone(rows), beside)
+        files.put_in_place(spark, beside, path)
+    finally:
+        files.remove(spark, beside)
+    return written
 
 
 @dataclass(frozen=True)
@@ -275,6 +403,11 @@ def _upload_directory(directory: DataFrame) -> tuple[str, Callable[[str], int]]:
     return "employees", lambda path: upload(directory, f"{path}/employees", TRUNCATE)
 
 
+# The tables go up in the order of their references: shifts and payroll name employees, and
+# payroll adds up shifts. So an upload that stops half-way leaves no row whose employee or
+# shifts the warehouse doesn't have.
+
+
 def upload_all(
     root: str,
     logs: DataFrame,
@@ -292,9 +425,9 @@ def upload_all(
     return _upload(
         root,
         [
-            ("payroll_summary", lambda path: load_payroll(path, payroll_weeks, now)),
-            ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
             _upload_directory(directory),
+            ("time_logs", lambda path: load_time_logs(path, logs, batch_id)),
+            ("payroll_summary", lambda path: load_payroll(path, payroll_weeks, now)),
         ],
     )
 
@@ -305,13 +438,13 @@ def upload_stored(spark: SparkSession, tables: str, root: str, now: datetime) ->
     Each load's shifts go under its own number there, so this may follow or precede
     uploads of single loads.
     """
-    columns = schemas.names(schemas.TIME_LOGS)
-    weeks = payroll(spark, tables).drop("created_at")
-    steps = [("payroll_summary", lambda path: load_payroll(path, weeks, now))]
-    for number in _finished(spark, tables):
-        logs = time_logs(spark, tables).filter(F.col("batch_id") == number).select(*columns)
+    state = commits.latest(spark, tables)
+    columns, names = schemas.names(schemas.TIME_LOGS), schemas.names(schemas.EMPLOYEES)
+    steps = [_upload_directory(_employees(spark, tables, state).select(*names))]
+    for number in sorted(state.logs):
+        logs = time_logs(spark, tables, state).filter(F.col("batch_id") == number).select(*columns)
         steps.append(
             ("time_logs", lambda path, logs=logs, n=number: load_time_logs(path, logs, n))
         )
-    names = schemas.names(schemas.EMPLOYEES)
-    return _upload(root, [*steps, _upload_directory(employees(spark, tables).select(*names))])
+    weeks = payroll(spark, tables, state).drop("created_at")
+    return _upload(root, [*steps, ("payroll_summary", lambda path: load_payroll(path, weeks, now))])

@@ -52,8 +52,8 @@ def run_available(
 
     Each micro-batch is a load with a number of its own from the tables, which batch runs
     share; the tables remember the stream and micro-batch it came from. One that is played
-    again after a failure replaces what it left unfinished, or is passed over if it had
-    finished. Ids already met, by any load, are looked up in the stored tables; the stream
+    again after a failure is passed over if it was committed; what it left otherwise is not
+    part of the tables. Ids already met, by any load, are looked up in the stored tables; the stream
     itself keeps no state that grows.
 
     Without ``ingest_order`` the stream is text from ``raw_file_stream`` and rows
@@ -66,13 +66,13 @@ def run_available(
         name = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         if sinks.was_loaded(spark, root, name, part):
             return
-        batch_id, now = sinks.next_batch(spark, root), datetime.now(timezone.utc)
+        now = datetime.now(timezone.utc)
         order = ingest_order
         if order is None:
             lines = rows.withColumn("_line", F.monotonically_increasing_id())
             rows, order = parse(lines, schemas.RAW_LOGS, null_tokens), FILE_ORDER
         load_raw(
-            root, rows, order, batch_id, f"batch-{batch_id}", now, stream=name, part=part
+            root, rows, order, None, f"{name}-{part}", now, stream=name, part=part
         ).discard()
 
     return (

@@ -164,7 +164,8 @@ def test_upload_modes(spark, tmp_path):
 def test_upload_records_a_failure(spark, root):
     shifts = logs(spark, {})
     broken = sinks.upload_all(root, shifts.drop("gross_pay"), pay.payroll_summary(shifts), staff(spark, {}), 1, NOW)
-    assert broken.rows == {"payroll_summary": 1} and "gross_pay" in broken.problem
+    assert broken.rows == {"employees": 1} and "gross_pay" in broken.problem
+    assert broken.problem.startswith("time_logs") and not files.exists(spark, f"{root}/payroll_summary")
 
 
 # --- whole runs ----------------------------------------------------------------
@@ -260,10 +261,10 @@ def test_a_run_that_broke_off_is_made_good_by_the_next(spark, tmp_path, monkeypa
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(load.sinks, "load_payroll", fail)
+        patch.setattr(load.sinks, "write_payroll", fail)
         with pytest.raises(RuntimeError):
             run_pipeline(spark, broken, people, _raw(spark), ["n"], ["employee_id"])
-    assert sinks.time_logs(spark, broken).count() == 5
+    assert sinks.time_logs(spark, broken).count() == 0  # nothing shows before all of it does
     again = run_pipeline(spark, broken, people, _raw(spark), ["n"], ["employee_id"]).first()
     assert (again.batch_id, again.load.time_logs) == (1, 5)
     _same(_tables(spark, whole), _tables(spark, broken))

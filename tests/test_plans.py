@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 # These run whole loads, and only read stored rows in the end.
 LOADS = {
     "incremental_payroll", "mixed_loads", "warehouse_payroll", "warehouse_tables", "rerun_errors",
-    "upload_modes", "processed_tables",
+    "upload_modes", "processed_tables", "overlapping_loads",
 }
 NAMES = sorted(set(registry.queries()) - LOADS)
 
@@ -61,6 +61,20 @@ def test_stored_shifts_are_pruned(spark, tmp_path):
     assert "ReadSchema: struct<employee_id:string,gross_pay:decimal(10,2)>" in found
 
 
+def test_only_the_buckets_of_a_load_are_read(spark, tmp_path):
+    root, attempt = str(tmp_path), sinks.new_attempt()
+    every = spark.range(2000).selectExpr("concat('L', id) as log_id")
+    sinks.write_ids(root, every, attempt)
+    some = every.filter("log_id in ('L7', 'L8', 'L1500')")
+    found = sinks.stored_ids(spark, root, [attempt], some)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    (pruned,) = re.findall(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(([\d,]+)\)", text) or [""]
+    buckets = {r[0] for r in some.select(sinks.id_bucket()).collect()}
+    assert pruned and set(map(int, pruned.split(","))) == buckets
+    assert {r.log_id for r in found.collect()} >= {"L7", "L8", "L1500"}
+    assert found.count() < 2000
+
+
 def test_costliest_employees_read_the_shifts_once(spark):
     shifts = logs(spark, {"employee_id": "E1"}, {"employee_id": "E2"})
     rows = reports.costliest_employees(shifts, staff(spark, {}, {}))
