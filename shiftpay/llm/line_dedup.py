@@ -9,12 +9,18 @@ from shiftpay.sources.files import stage
 
 #: Leading tokens that, beside the token count, name a leaf of the tree.
 DEPTH = 4
-#: Share of a line's tokens that must equal its leaf's template.
+#: Share of the tokens after the leading ones that lines of a template have in common.
 SIMILARITY = 0.7
+#: Words after the leading ones that a template keeps, at least, if its lines have as many.
+MIN_WORDS = 2
 #: Different texts that a template must occur in to count as recurring.
 MIN_DOCUMENTS = 3
-#: Lines with fewer tokens are left alone: headings, brackets, rules.
-MIN_TOKENS = 3
+#: For long lines two are enough: so many tokens, or so many bytes in at most DEPTH tokens.
+LONG_DOCUMENTS, LONG_TOKENS, LONG_BYTES = 2, 50, 300
+#: Lines under so many tokens and bytes are short, and have to recur in more texts.
+SHORT_DOCUMENTS, SHORT_TOKENS, SHORT_BYTES = 10, 3, 24
+#: Lines of fewer bytes, wild cards and spaces apart, are left alone: brackets, rules, numbers.
+MIN_BYTES = 8
 ANY = "<*>"
 _SPACE = r"[ \t\x0B\f\r]+"
 #: What a line with anything to clean holds; a token with a digit, from its beginning.
@@ -37,10 +43,27 @@ def _count(cleaned: str) -> Column:
     return F.when(F.col(cleaned) == "", 0).otherwise(spaces + 1)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Lines long enough: row (id and text digest), place, digests of leaf and line.
+def _need(cleaned: str, min_documents: int) -> Column:
+    """Different texts that make a cleaned line recurring; null if it stays in any case."""
+    line, tokens = F.col(cleaned), _count(cleaned)
+    words_only = F.replace(line, F.lit(ANY), F.lit(""))
+    size = F.octet_length(F.replace(words_only, F.lit(" "), F.lit("")))
+    wild = (F.octet_length(line) - F.octet_length(words_only)) / len(ANY)
+    return (
+        F.when((size < MIN_BYTES) | ((wild > 0) & (tokens - wild < 2)), None)
+        .when(
+            (tokens >= LONG_TOKENS) | ((tokens <= DEPTH) & (size >= LONG_BYTES)),
+            min(LONG_DOCUMENTS, min_documents),
+        )
+        .when((tokens >= SHORT_TOKENS) | (size >= SHORT_BYTES), min_documents)
+        .otherwise(max(SHORT_DOCUMENTS, min_documents))
+    )
 
-    A line is known by both digests, 128 bits.
+
+def _lines(docs: DataFrame, min_documents: int) -> DataFrame:
+    """Lines that may recur: row (id and text digest), place, digests of leaf and line, need.
+
+    A line is known by both digests, 128 bits. All lines of a leaf have the same need.
     """
     # cleaned lines come out of the explode as a column, so nothing cleans them again
     cut = docs.select(
@@ -48,39 +71,57 @@ def _lines(docs: DataFrame) -> DataFrame:
         shared.text_key().alias("digest"),
         F.posexplode(F.transform(F.split(shared.text_or_empty(), "\n"), clean)).alias("place", "line"),
     )
-    return cut.where(_count("line") >= MIN_TOKENS).select(
+    return cut.withColumn("need", _need("line", min_documents)).where("need is not null").select(
         "id", "digest", "place",
         F.xxhash64(_count("line"), F.substring_index("line", " ", DEPTH)).alias("leaf"),
         F.xxhash64("line").alias("line"),
+        "need",
     )
 
 
 def _templates(distinct: DataFrame, similarity: float) -> DataFrame:
-    """(leaf, line, general): whether a leaf's distinct lines follow its template.
+    """(leaf, line, template): the template of each line of mixed leaves that may recur.
+
+    ``distinct`` has a leaf's distinct lines, the texts each is in, and their tokens. A line's
+    template has its leading tokens, which the leaf fixes, and those of its other words that
+    most texts have at their place in the leaf: as many as the similarity asks for. The rest
+    are wild cards. So lines of a template have that share in common, and a leaf has as many
+    templates as families of lines, none hiding another.
 
-    A leaf's template has at each place the token that most of its lines have there, if more
-    than half do, and a wild card elsewhere. A line follows it if enough of its tokens,
-    wild cards for digits included, equal the template's.
+    A template is known by its leaf and the digest of its words and their places, 64 bits each.
+    Counts are added up before the shuffle; a word that most lines of a hot leaf share is a skewed
+    join key, which is split at run time, as its counts are one row.
     """
-    places = distinct.select("leaf", "line", F.posexplode("tokens").alias("at", "token"))
-    counted = places.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"))
-    chosen = counted.groupBy("leaf", "at").agg(
-        F.max_by("token", F.struct("n", "token")).alias("token"),
-        F.max("n").alias("n"),
-        F.sum("n").alias("all"),
-    )
-    token = F.when(F.col("n") * 2 > F.col("all"), F.col("token"))  # null: any token
-    template = chosen.groupBy("leaf").agg(
-        F.sort_array(F.collect_list(F.struct("at", token.alias("token")))).alias("template")
-    )
-    equal = F.aggregate(
-        F.zip_with("tokens", "template.token", lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0))),
-        F.lit(0),
-        lambda total, x: total + x,
-    )
-    return distinct.join(template, "leaf").select(
-        "leaf", "line", (equal >= F.ceil(F.size("tokens") * F.lit(similarity))).alias("general")
-    )
+    places = distinct.select(
+        "leaf", "line", "need", "texts",
+        F.posexplode(F.slice("tokens", DEPTH + 1, F.greatest(F.size("tokens") - DEPTH, F.lit(0)))).alias("at", "token"),
+    )
+    supported = (
+        places.where(F.col("token") != ANY)
+        .groupBy("leaf", "at", "token")
+        .agg(F.sum("texts").alias("support"), F.first("need").alias("need"))
+        .where("support >= need")
+        .drop("need")
+    )
+    place = F.struct(-F.col("support"), "at", F.xxhash64("token").alias("word"))
+    wanted = F.greatest(F.ceil(F.col("all") * F.lit(similarity)), F.lit(MIN_WORDS))
+    return (
+        places.join(supported, ["leaf", "at", "token"], "left")
+        .groupBy("leaf", "line")
+        .agg(
+            F.count("*").alias("all"),
+            F.count_if(F.col("token") != ANY).alias("words"),
+            F.sort_array(F.collect_list(F.when(F.col("support").isNotNull(), place))).alias("found"),
+        )
+        .withColumn("wanted", F.least("words", wanted).cast("int"))
+        .where(F.size("found") >= F.col("wanted"))
+        .select(
+            "leaf", "line",
+            F.xxhash64(
+                F.array_sort(F.transform(F.slice("found", 1, F.col("wanted")), lambda x: F.struct(x["at"], x["word"])))
+            ).alias("template"),
+        )
+    )
 
 
 def dropped_lines(
@@ -88,71 +129,74 @@ def dropped_lines(
 ) -> DataFrame:
     """(id, digest, places): the lines to drop of each row, by place from 0.
 
-    Only leaves that min_documents different texts reach are looked at token by token, and
-    of those only distinct lines, so a line that a third of all documents share is one row
+    Only leaves that enough different texts reach are looked at token by token, and of
+    those only distinct lines, so a line that a third of all documents share is one row
     for each map task before it is shuffled.
     """
-    every = stage(_lines(docs), "lines")
+    every = stage(_lines(docs, min_documents), "lines")
     # a template's texts all reach its leaf, so leaves with too few lines end here
-    often = every.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents)
+    often = (
+        every.groupBy("leaf")
+        .agg(F.count("*").alias("n"), F.first("need").alias("need"))
+        .where("n >= need")
+    )
     short = stage(every.join(stage(often.select("leaf"), "leaves"), "leaf", "left_semi"), "leaf-lines")
     null = F.col("id") == shared.id_key_of_null()
     first = F.struct(null.alias("null"), "id", "digest")
     # a line's occurrences in one text count once, and so do copies of a text
     texts = stage(
-        short.groupBy("leaf", "line", "digest").agg(F.min(first).alias("first")), "line-texts"
+        short.groupBy("leaf", "line", "digest").agg(F.min(first).alias("first"), F.first("need").alias("need")),
+        "line-texts",
     )
     distinct = stage(
-        texts.groupBy("leaf", "line").agg(F.count("*").alias("texts"), F.min("first").alias("first")),
+        texts.groupBy("leaf", "line").agg(
+            F.count("*").alias("texts"), F.min("first").alias("first"), F.first("need").alias("need")
+        ),
         "lines-told-apart",
     )
     busy = (
         distinct.groupBy("leaf")
-        .agg(F.count("*").alias("lines"), F.sum("texts").alias("texts"))
-        .where((F.col("lines") > 1) & (F.col("texts") >= min_documents))
+        .agg(F.count("*").alias("lines"), F.sum("texts").alias("texts"), F.first("need").alias("need"))
+        .where("lines > 1 and texts >= need")
+        .select("leaf")
     )
-    mixed = distinct.join(busy.select("leaf"), "leaf").select("leaf", "line", "first")
+    mixed = stage(distinct.join(busy, "leaf", "left_semi"), "mixed-lines")
     # the tokens of each such line are read where it first occurs
-    where = short.join(mixed.select("leaf", "line", "first.*").drop("null"), ["leaf", "line", "id", "digest"])
-    wanted = where.groupBy("leaf", "line", "id", "digest").agg(F.min("place").alias("place"))
+    where = short.select("leaf", "line", "id", "digest", "place").join(
+        mixed.select("leaf", "line", "texts", "need", "first.id", "first.digest"),
+        ["leaf", "line", "id", "digest"],
+    )
+    wanted = where.groupBy("leaf", "line", "id", "digest", "texts", "need").agg(F.min("place").alias("place"))
     by_row = wanted.groupBy("id", "digest").agg(
-        F.collect_list(F.struct("place", "leaf", "line")).alias("wanted")
+        F.collect_list(F.struct("place", "leaf", "line", "texts", "need")).alias("wanted")
     )
     rows = docs.select(
         shared.id_key().alias("id"), shared.text_key().alias("digest"), shared.text_or_empty().alias("text")
     )
-    read = rows.join(by_row, ["id", "digest"]).select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")
-    ).select(
-        "w.leaf", "w.line", F.split(clean(F.element_at("all", F.col("w.place") + 1)), " ").alias("tokens")
-    )
-    general = _templates(read.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")), similarity)
-    # a template is a leaf (general) or one line of it
-    named = (
-        distinct.join(general.where("general"), ["leaf", "line"], "left")
-        .select(
-            "leaf", "line", "texts", "first",
-            F.coalesce("general", F.lit(False)).alias("general"),
-        )
-    )
-    named = stage(named, "line-templates")
-    shared_texts = (
-        texts.join(named.where("general").select("leaf", "line"), ["leaf", "line"])
-        .groupBy("leaf", "digest")
-        .agg(F.min("first").alias("first"))
-        .groupBy("leaf")
-        .agg(F.count("*").alias("texts"), F.min("first").alias("first"))
+    read = (
+        rows.dropDuplicates(["id", "digest"])
+        .join(by_row, ["id", "digest"])
+        .select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
+        .select("w.*", F.split(clean(F.element_at("all", F.col("w.place") + 1)), " ").alias("tokens"))
     )
+    templates = stage(_templates(read, similarity), "line-templates")
+    # a template with all texts that it is in, and the first of them
     recurring = (
-        named.where("general")
-        .select("leaf", "line")
-        .join(shared_texts, "leaf")
-        .unionByName(named.where("not general").drop("general"))
-        .where(F.col("texts") >= min_documents)
-        .select("leaf", "line", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
-    )
+        texts.join(templates, ["leaf", "line"])
+        .groupBy("leaf", "template", "digest")
+        .agg(F.min("first").alias("first"), F.first("need").alias("need"))
+        .groupBy("leaf", "template")
+        .agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.first("need").alias("need"))
+        .where("texts >= need")
+        .select("leaf", "template", "first")
+    )
+    alone = distinct.join(mixed.select("leaf").distinct(), "leaf", "left_anti").where("texts >= need")
+    gone = templates.join(recurring, ["leaf", "template"]).select("leaf", "line", "first").unionByName(
+        alone.select("leaf", "line", "first")
+    ).select("leaf", "line", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
     stays = (F.col("id") == F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
     return (
-        short.join(recurring, ["leaf", "line"])
+        short.join(gone, ["leaf", "line"])
         .where(~stays)
         .groupBy("id", "digest")
         .agg(F.sort_array(F.collect_set("place")).alias("places"))
@@ -166,13 +210,15 @@ def drop_recurring_lines(
 
     Lines are cut at newlines and into tokens at white space; a token with a digit is a wild
     card. A tree of fixed depth deals them to leaves by token count and leading tokens. In
-    a leaf, fields that vary become wild cards too, and lines near that template belong to
-    it; others are templates of their own. A template that min_documents different texts
-    hold is recurring: its lines go from every document but the first (least doc_id, nulls
-    last) that has it, so what is said once stays said. Copies of a text count once.
-
-    Lines under MIN_TOKENS tokens stay. A null text stays null with no lines; repeated rows
-    are treated alike; other columns are untouched; an empty table gives none.
+    a leaf, a line's template keeps the words that most texts have at their place, by the given
+    share of the tokens after the leading ones and two at least; the others are wild cards. So
+    a leaf has a template for each family of lines in it. A template that min_documents different texts hold is recurring: its lines go from every
+    document but the first (least doc_id, nulls last) that has it, so what is said once stays
+    said. Copies of a text count once. For long lines two texts are enough, short ones need ten.
+
+    Lines under MIN_BYTES bytes stay, and lines with digits that have fewer than two tokens
+    without. A null text stays null with no lines; repeated rows are treated alike; other columns
+    are untouched; an empty table gives none. A text of any length is one row of the scan.
     """
     gone = dropped_lines(docs, similarity, min_documents)
     names = [shared.free_name(docs, n) for n in ("join_id", "join_digest", "join_places")]

@@ -88,6 +88,17 @@ def test_lines_equal_the_sql_on_hard_rows(spark):
         (draw.choice([None, *range(30)]), "\n".join(" ".join(draw.choices(words, k=draw.randint(0, 6))) for _ in range(8)))
         for _ in range(60)
     ]
+    names = ["<*>", "ann", "bob", "eve", "mia", "zoe", "x2", "kim", "lou", "tom"]
+    for i in range(200, 260):
+        one, two = draw.choices(names, k=2)
+        text = [
+            f"Jan 3 10:22 host user {one} logged in from home",
+            f"Jan 3 10:22 host disk {two} failed to mount today",
+            f"Jan 3 10:22 host user {two} failed in from {one}",
+            " ".join(["many words", one, "go", two] * draw.choice([3, 9, 10])),
+            draw.choice(["Short head", "Long single headings", "漢字" * draw.choice([4, 9, 60])]),
+        ]
+        rows.append((i, "\n".join(draw.sample(text, 3))))
     rows += [(99, None), (100, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").dropDuplicates(["doc_id"])
     db = connect(SMALL)
@@ -100,6 +111,38 @@ def test_lines_equal_the_sql_on_hard_rows(spark):
     assert differences(found, db, contract.oracle_sql()["op6_line_dedup"]) == []
 
 
+def lines_dropped(spark, texts):
+    rows = list(enumerate(texts))
+    found = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    return sum(r.n_dropped for r in found.collect())
+
+
+def test_families_of_one_leaf(spark):
+    names = "ann bob eve mia zoe kim lou tom sue max pia joe".split()
+    users = [f"Jan 3 10:22 host user {x} logged in from home" for x in names]
+    disks = [f"Jan 3 10:22 host disk {x} failed to mount today" for x in names]
+    assert lines_dropped(spark, users) == 11
+    assert lines_dropped(spark, users + disks) == 22
+    assert lines_dropped(spark, users + disks * 3) == 11 + 35  # copies go too, but count once
+    often = [f"{'abcd'[i]}\n{disks[0]}" for i in range(4)]  # a name in both families, often in one
+    assert lines_dropped(spark, users + disks[1:] + often) == 11 + 14
+
+
+def test_unrelated_and_numeric_lines_stay(spark):
+    assert lines_dropped(spark, [f"This is a great {x}" for x in ("book", "film", "car", "city")]) == 0
+    assert lines_dropped(spark, ["12 40 7", "88 2 3", "1 2 3", "9 9 9", "Temperature 3 4 5", "Temperature 5 4 4", "Temperature 1 1 1"]) == 0
+    assert lines_dropped(spark, [f"{x}\n}}\n---\nPage 7" for x in range(40)]) == 0
+
+
+def test_short_long_and_space_free_lines(spark):
+    def held(line, n):
+        return lines_dropped(spark, [f"{'abcdefghijkl'[i]}\n{line}" for i in range(n)])
+
+    assert held("利用規約と個人情報保護方針", 3) == 2 and held("利用規約と個人情報保護方針", 2) == 0
+    assert held(" ".join(f"{x}{y}" for x in "abcdefgh" for y in "stuvwxyz"), 2) == 1
+    assert held("And ornd.", 12) == 11 and held("And ornd.", 9) == 0
+
+
 def test_templates_among_null_ids(spark):
     rows = [(None, f"a b c d {w} f g h i") for w in ("xx", "yy", "zz", "vv", "vv")]
     found = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
