@@ -61,9 +61,9 @@ def _need(cleaned: str, min_documents: int) -> Column:
 
 
 def _lines(docs: DataFrame, min_documents: int) -> DataFrame:
-    """Lines that may recur: row (id and text digest), place, digests of leaf and line, need.
+    """Lines: row (id and text digest), place, digests of leaf and line, need.
 
-    A line is known by both digests, 128 bits. All lines of a leaf have the same need.
+    A line is known by both digests, 128 bits. All lines of a leaf with a need have the same.
     """
     # cleaned lines come out of the explode as a column, so nothing cleans them again
     cut = docs.select(
@@ -71,11 +71,12 @@ def _lines(docs: DataFrame, min_documents: int) -> DataFrame:
         shared.text_key().alias("digest"),
         F.posexplode(F.transform(F.split(shared.text_or_empty(), "\n"), clean)).alias("place", "line"),
     )
-    return cut.withColumn("need", _need("line", min_documents)).where("need is not null").select(
+    # need is asked for once: a filter on it here would work it out a second time
+    return cut.where(F.octet_length("line") >= MIN_BYTES).select(
         "id", "digest", "place",
         F.xxhash64(_count("line"), F.substring_index("line", " ", DEPTH)).alias("leaf"),
         F.xxhash64("line").alias("line"),
-        "need",
+        _need("line", min_documents).alias("need"),
     )
 
 
@@ -133,7 +134,7 @@ def dropped_lines(
     those only distinct lines, so a line that a third of all documents share is one row
     for each map task before it is shuffled.
     """
-    every = stage(_lines(docs, min_documents), "lines")
+    every = stage(_lines(docs, min_documents), "lines").where("need is not null")
     # a template's texts all reach its leaf, so leaves with too few lines end here
     often = (
         every.groupBy("leaf")
