@@ -74,28 +74,43 @@ VALIDATION_ERRORS = Rules(
 def audit(rows: DataFrame, table: str, rules: Rules) -> DataFrame:
     """One row per rule: table_name, rule, violations.
 
-    Row rules are counted in a single pass. A uniqueness rule counts the keys that
-    occur more than once; keys with a null part are unique by definition unless the
-    part is required, which its own rule reports.
+    All rules are judged in one scan and one shuffle. A row becomes one short entry for each
+    row rule that it breaks and one for each of its keys; entries are added up before the
+    shuffle, so broken rules are a row per task and only keys move. A uniqueness rule counts
+    the keys that occur more than once; keys with a null part are unique by definition
+    unless the part is required, which its own rule reports.
     """
-    counts = {f"{c}_required": F.col(c).isNull() for c in rules.required}
-    counts |= {f"{c}_length": F.char_length(c) > n for c, n in rules.max_length.items()}
-    counts |= {
+    broken = {f"{c}_required": F.col(c).isNull() for c in rules.required}
+    broken |= {f"{c}_length": F.char_length(c) > n for c, n in rules.max_length.items()}
+    broken |= {
         name: ~(F.expr(check) if isinstance(check, str) else check)
         for name, check in rules.checks.items()
     }
-    by_row = rows.agg(*[F.count_if(broken).alias(name) for name, broken in counts.items()])
-    parts = [by_row.unpivot([], list(counts), "rule", "violations")]
-    for key in rules.unique:
-        repeated = rows.dropna(subset=list(key)).groupBy(*key).count().filter("count > 1")
-        parts.append(
-            repeated.agg(
-                F.lit("_".join(key) + "_unique").alias("rule"),
-                F.count(F.lit(1)).alias("violations"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts).select(
-        F.lit(table).alias("table_name"), "rule", "violations"
+    unique = {"_".join(key) + "_unique": key for key in rules.unique}
+    parts = list(dict.fromkeys(c for key in rules.unique for c in key))
+    none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in parts}
+
+    def entry(rule: str, applies: Column, key: tuple[str, ...] = ()) -> Column:
+        values = [(F.col(c) if c in key else none[c]).alias(f"key{i}") for i, c in enumerate(parts)]
+        return F.when(applies, F.struct(F.lit(rule).alias("rule"), *values))
+
+    entries = [entry(rule, applies) for rule, applies in broken.items()]
+    for rule, key in unique.items():
+        whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+        entries.append(entry(rule, whole, key))
+    counted = (
+        rows.select(F.explode(F.array_compact(F.array(*entries))).alias("entry"))
+        .groupBy("entry.rule", *[f"entry.key{i}" for i in range(len(parts))])
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    violations = [
+        F.coalesce(F.sum(F.when(F.col("rule") == rule, F.col("n"))), F.lit(0)).alias(rule)
+        for rule in broken
+    ] + [F.count_if((F.col("rule") == rule) & (F.col("n") > 1)).alias(rule) for rule in unique]
+    return (
+        counted.agg(*violations)
+        .unpivot([], [*broken, *unique], "rule", "violations")
+        .select(F.lit(table).alias("table_name"), "rule", "violations")
     )
 
 

@@ -24,31 +24,39 @@ def _contains(column: str, text: str) -> Column:
     return F.col(column).ilike(f"%{text}%")
 
 
-def _page(rows: DataFrame, counted: DataFrame, order: list, page: int, size: int) -> DataFrame:
-    """One page in a total order, every row with the total row count of ``counted``.
-
-    The first page is a top list of at most ``size`` rows a task. Any other page, near or
-    far, is cut from the sorted rows by position: an offset would carry all rows before the
-    page into one task.
-    """
+def _start(page: int, size: int) -> int:
+    """Rows before a page."""
     if page < 1:
         raise ValueError("page must be 1 or more")
     if not 1 <= size <= 500:
         raise ValueError("page_size must be within 1..500")
-    count = counted.agg(F.count(F.lit(1)).alias("total")).scalar()
-    start = (page - 1) * size
+    return (page - 1) * size
+
+
+def _cut(rows: DataFrame, order: list, start: int, size: int) -> DataFrame:
+    """``size`` rows after the first ``start`` in a total order.
+
+    The first ones are a top list of at most ``size`` rows a task. Any others, near or
+    far, are cut from the sorted rows by position: an offset would carry all rows before the
+    page into one task.
+    """
     if not start:
-        return rows.orderBy(*order).limit(size).withColumn("total", count)
+        return rows.orderBy(*order).limit(size)
     at = F.col("_at")
     return (
         with_position(rows, order, "_at")
         .filter((at > start) & (at <= start + size))
         .orderBy(at)
         .drop("_at")
-        .withColumn("total", count)
     )
 
 
+def _page(rows: DataFrame, counted: DataFrame, order: list, page: int, size: int) -> DataFrame:
+    """One page in a total order, every row with the total row count of ``counted``."""
+    count = counted.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return _cut(rows, order, _start(page, size), size).withColumn("total", count)
+
+
 def matching_employees(
     employees: DataFrame, department: str | None = None, status: str | None = None
 ) -> DataFrame:
@@ -122,9 +130,59 @@ def payroll_page(
     The total counts payroll rows, also those whose employee is not in the directory.
     """
     rows = matching_payroll(payroll, department, week_start)
+    return _page(_named(rows, employees), rows, _payroll_order(), page, page_size)
+
+
+def _named(payroll: DataFrame, employees: DataFrame) -> DataFrame:
     names = employees.select("employee_id", full_name().alias("full_name"))
-    order = [F.desc("week_start"), F.desc("total_gross_pay"), "employee_id", "department"]
-    return _page(rows.join(names, "employee_id"), rows, order, page, page_size)
+    return payroll.join(names, "employee_id")
+
+
+def _payroll_order() -> list:
+    return [F.desc("week_start"), F.desc("total_gross_pay"), "employee_id", "department"]
+
+
+def payroll_page_by_week(
+    payroll: DataFrame,
+    employees: DataFrame,
+    page: int = 1,
+    page_size: int = 50,
+    department: str | None = None,
+    week_start: date | str | None = None,
+) -> DataFrame:
+    """The page that ``payroll_page`` gives, from payroll stored by week.
+
+    Weeks lead the order, so a count of each week's rows tells which weeks a page lies in.
+    Only those are read whole and sorted, for the last page as for the first; the counts take
+    a pass over ids and weeks, run when this is called, and are as many as the calendar has
+    weeks. An employee id is in the directory once.
+    """
+    start, total, before = _start(page, page_size), 0, 0
+    rows = matching_payroll(payroll, department, week_start)
+    known = employees.select("employee_id", F.lit(True).alias("_known"))
+    counts = (
+        rows.select("employee_id", "week_start")
+        .join(known, "employee_id", "left")
+        .groupBy("week_start")
+        .agg(F.count("_known").alias("listed"), F.count(F.lit(1)).alias("held"))
+        .orderBy(F.desc("week_start"))
+        .collect()
+    )
+    weeks, skipped = [], 0
+    for week in counts:
+        if before + week.listed <= start:
+            skipped = before + week.listed
+        elif before < start + page_size:
+            weeks.append(week.week_start)
+        before += week.listed
+        total += week.held
+    within = F.col("week_start").isin([w for w in weeks if w is not None])
+    if None in weeks:
+        within |= F.col("week_start").isNull()
+    found = _named(rows.filter(within), employees)
+    return _cut(found, _payroll_order(), start - skipped, page_size).withColumn(
+        "total", F.lit(total).cast("bigint")
+    )
 
 
 def top_overtime(

@@ -195,6 +195,21 @@ def test_constraint_audit(spark):
     }
 
 
+def test_constraint_audit_of_several_keys_reads_the_rows_once(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 1.0), (1, "b", 1.0), (2, "b", None), (2, "b", None), (None, "c", 2.0), (None, "c", 2.0)],
+        "id long, name string, x double",
+    )
+    rules = constraints.Rules(required=("id",), unique=(("id",), ("name", "x"), ("name",)), checks={"small": "x < 2"})
+    found = constraints.audit(rows, "t", rules)
+    assert by(found, "rule", "violations") == {
+        "id_required": 2, "small": 2, "id_unique": 2, "name_x_unique": 1, "name_unique": 2,
+    }
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") == 1
+    assert set(by(constraints.audit(rows.limit(0), "t", rules), "rule", "violations").values()) == {0}
+
+
 def test_orphans(spark):
     rows = raw(spark, {"employee_id": "E1"}, {"employee_id": "E9"}, {"employee_id": None})
     staff = spark.createDataFrame([("E1",)], "employee_id string")

@@ -231,6 +231,24 @@ def test_ranks_of_many_ties_with_a_long_common_prefix(spark):
     assert tuple(counts) == (100_000, 100_000, 99_990, 11, 100_000, 99_990)
 
 
+def test_pages_by_week_equal_plain_pages(spark, people):
+    payroll = spark.sql(
+        """SELECT concat('E', id % 5) employee_id, 'd' department, cast(id % 7 as decimal(10,2)) total_gross_pay,
+             if(id % 11 = 0, null, date_add(date'2024-01-01', cast(7 * (id % 4) as int))) week_start
+           FROM range(60)"""
+    )
+    pages = 0
+    for page in range(1, 9):
+        plain = listings.payroll_page(payroll, people, page, 8)
+        found = listings.payroll_page_by_week(payroll, people, page, 8)
+        assert found.collect() == plain.collect() and found.schema.names == plain.schema.names
+        pages += not plain.isEmpty()
+    assert pages > 2
+    one = listings.payroll_page_by_week(payroll, people, 1, 8, week_start="2024-01-08")
+    assert one.collect() == listings.payroll_page(payroll, people, 1, 8, week_start="2024-01-08").collect()
+    assert listings.payroll_page_by_week(payroll.limit(0), people).count() == 0
+
+
 def test_payroll_pages(shifts, people):
     payroll = pay.payroll_summary(shifts)
     found = listings.payroll_page(payroll, people).collect()
