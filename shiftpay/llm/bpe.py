@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, types as T
 
 from shiftpay.llm import shared
-from shiftpay.llm.pieces import MEMORY, Pieces, encoded
+from shiftpay.llm.pieces import Memory, Pieces, encoded
 
 
 class Vocabulary:
@@ -271,15 +271,14 @@ def _words(path: str) -> Words:
 @lru_cache(2)
 def _pieces(path: str, pattern: str) -> Pieces:
     words, split = _words(path), regex.compile(pattern)
-    known: dict[str, bytes] = {}
+    known = Memory()
 
     def encode(new: list[str]) -> list[bytes]:
         matches = [split.findall(p) for p in new]
         missing = list({m for some in matches for m in some if m not in known})
         found = dict(zip(missing, words.ids([m.encode() for m in missing])))
         ids = [b"".join([known.get(m) or found[m] for m in some]) for some in matches]
-        if len(known) < MEMORY:
-            known.update(found)
+        known.learn(found)
         return ids
 
     return Pieces(encode)

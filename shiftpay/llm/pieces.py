@@ -11,8 +11,31 @@ from shiftpay.llm import shared
 
 #: A space before white space, or at the end: there a cut would change the tokens.
 _JOINED_SPACE = re.compile(r" (?=\s|$)")
-#: Pieces that a worker remembers at most.
-MEMORY = 300_000
+#: Bytes of remembered pieces and ids at most, for each of the memories of a worker.
+MEMORY_BYTES = 64 << 20
+#: Bytes that an entry takes beside its piece and ids.
+ENTRY_BYTES = 150
+#: Longer pieces are encoded each time, so that few of them can't fill the memory.
+LONGEST = 64
+
+
+class Memory(dict[str, bytes]):
+    """Ids by string; it forgets all rather than hold more than MEMORY_BYTES."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.bytes = 0
+
+    def learn(self, found: dict[str, bytes]) -> None:
+        short = {k: v for k, v in found.items() if len(k) <= LONGEST}
+        # a string takes up to four bytes for each code point
+        more = sum(4 * len(k) + len(v) + ENTRY_BYTES for k, v in short.items())
+        if self.bytes + more > MEMORY_BYTES:
+            self.clear()
+            self.bytes = 0
+        if more <= MEMORY_BYTES:
+            self.update(short)
+            self.bytes += more
 
 
 class Pieces:
@@ -25,19 +48,20 @@ class Pieces:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self._encode = encode
-        self._known: dict[str, bytes] = {}
+        self._known = Memory()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
-        known = self._known
-        missing = list({p for some in cut for p in some if p not in known})
-        if len(known) + len(missing) > MEMORY:
-            wanted = {p for some in cut for p in some if p in known}
-            known = self._known = {p: known[p] for p in wanted}
+        told_apart = {p for some in cut for p in some}
+        found = {p: self._known[p] for p in told_apart if p in self._known}
+        missing = [p for p in told_apart if p not in found]
+        new: dict[str, bytes] = {}
         for low in range(0, len(missing), 20_000):
             some = missing[low : low + 20_000]
-            known.update(zip(some, self._encode(some)))
-        return [b"".join(map(known.__getitem__, some)) for some in cut]
+            new.update(zip(some, self._encode(some)))
+        self._known.learn(new)
+        found.update(new)
+        return [b"".join(map(found.__getitem__, some)) for some in cut]
 
     @staticmethod
     def _cut(text: str) -> list[str]:

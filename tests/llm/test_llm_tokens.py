@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from shiftpay.llm import bpe, packing
+from shiftpay.llm import bpe, packing, pieces as piece_memory
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,27 @@ def test_ids_equal_the_library(library):
         assert plain(a) == library.encode_ordinary(text)
 
 
+def test_memory_of_pieces_is_bounded_by_bytes(library, monkeypatch):
+    monkeypatch.setattr(piece_memory, "MEMORY_BYTES", 20_000)
+    draw = random.Random(6)
+    own = bpe._pieces.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    for _ in range(20):
+        some = ["".join(draw.choices("日本語テキスト", k=k)) for k in (3, 40, 64, 65, 3000)]
+        some += [" ".join("".join(draw.choices("abcdef", k=6)) for _ in range(20)), *some[:2], "", " "]
+        for text, a in zip(some, own.ids(some)):
+            assert plain(a) == library.encode_ordinary(text)
+        assert own._known.bytes <= 20_000
+        assert all(len(p) <= piece_memory.LONGEST for p in own._known)
+
+
+def test_more_than_the_memory_in_one_go(library, monkeypatch):
+    monkeypatch.setattr(piece_memory, "MEMORY_BYTES", 100)
+    own = bpe._pieces.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    some = [f"word{k} of {k * 7919}" for k in range(50)]
+    for _ in range(2):
+        assert [plain(a) for a in own.ids(some)] == [library.encode_ordinary(t) for t in some]
+
+
 def test_appends_and_edits_equal_encoding_anew():
     draw = random.Random(5)
     vocabulary = bpe.vocabulary(RANKS)
