@@ -95,13 +95,14 @@ def absent_logs(
 def upsert_payroll(old: DataFrame, summary: DataFrame) -> DataFrame:
     """Payroll rows after loading ``summary``, folded to one row per employee and week.
 
-    Where both sides have ``created_at``, as stored rows do, a known row keeps its own.
+    Where both sides have ``created_at``, as stored rows do, a known row keeps its own; where
+    both have ``parts``, those of the load count.
     """
     columns = {c: _pick("old", "new", c) for c in PAYROLL_KEEPS}
     columns |= {c: _pick("new", "old", c) for c in PAYROLL_UPDATES}
-    names = schemas.names(schemas.PAYROLL)
-    if "created_at" in old.columns and "created_at" in summary.columns:
-        columns["created_at"] = _pick("old", "new", "created_at")
-        names = schemas.names(schemas.PAYROLL_TABLE)
+    columns["created_at"] = _pick("old", "new", "created_at")
+    columns["parts"] = _pick("new", "old", "parts")
+    both = {*old.columns} & {*summary.columns}
+    names = [c for c in schemas.names(schemas.PAYROLL_FILE) if c in both]
     keys = ["employee_id", "week_start"]
     return _matched(old, summary, keys).select(*keys, *[columns[c].alias(c) for c in names[2:]])

@@ -11,7 +11,6 @@ from shiftpay.functions.columns import (
     half_up,
     mean,
     micros_between,
-    total,
     total_or_zero,
     week_of,
 )
@@ -65,34 +64,78 @@ def _computed(clean: DataFrame, standard_hours: Decimal, overtime_factor: Decima
     )
 
 
+_PAYROLL_KEYS = ["employee_id", "week_start"]
+
+
 def payroll_summary(logs: DataFrame) -> DataFrame:
     """Weekly totals per employee and department, weeks starting on Monday."""
+    return summary_of_parts(payroll_parts(logs))
+
+
+def payroll_parts(logs: DataFrame) -> DataFrame:
+    """Exact sums per employee, week (from Monday) and department, not rounded yet."""
     return logs.groupBy(
         "employee_id", week_of(F.col("log_date")).alias("week_start"), "department"
     ).agg(
-        total("hours_worked").cast(schemas.TOTAL_HOURS).alias("total_hours"),
-        total("overtime_hours").cast(schemas.TOTAL_HOURS).alias("total_overtime"),
-        total("gross_pay").cast(schemas.TOTAL_PAY).alias("total_gross_pay"),
-        F.count("log_id").cast("int").alias("num_shifts"),
-        F.lit("weekly").alias("pay_period"),
+        F.sum("hours_worked").alias("hours"),
+        F.sum("overtime_hours").alias("overtime"),
+        F.sum("gross_pay").alias("gross"),
+        F.count("log_id").alias("shifts"),
     )
 
 
-def fold_payroll(summary: DataFrame) -> DataFrame:
-    """One row per employee and week: the key of the payroll table.
+def add_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same employee, week and department as one: as if of all their shifts."""
+    sums = {f.name: f.dataType for f in schemas.PAYROLL_PART.fields if f.name != "department"}
+    return parts.groupBy(*_PAYROLL_KEYS, "department").agg(
+        *[F.sum(name).cast(kind).alias(name) for name, kind in sums.items()]
+    )
 
-    Weeks worked in several departments are added up and carry the department with
-    the most hours, on equal hours the first by name.
-    """
+
+def summary_of_parts(parts: DataFrame) -> DataFrame:
+    """The payroll summary of the shifts that went into ``parts``."""
+    return parts.select(*_PAYROLL_KEYS, "department", *_rounded())
+
+
+def _rounded() -> list[Column]:
+    return [
+        half_up(F.col("hours"), 2).cast(schemas.TOTAL_HOURS).alias("total_hours"),
+        half_up(F.col("overtime"), 2).cast(schemas.TOTAL_HOURS).alias("total_overtime"),
+        half_up(F.col("gross"), 2).cast(schemas.TOTAL_PAY).alias("total_gross_pay"),
+        F.col("shifts").cast("int").alias("num_shifts"),
+        F.lit("weekly").alias("pay_period"),
+    ]
+
+
+def _folded() -> list[Column]:
     most_hours = F.struct((-F.col("total_hours")).alias("h"), F.col("department"))
-    return summary.groupBy("employee_id", "week_start").agg(
+    return [
         F.min(most_hours)["department"].alias("department"),
         F.sum("total_hours").cast(schemas.TOTAL_HOURS).alias("total_hours"),
         F.sum("total_overtime").cast(schemas.TOTAL_HOURS).alias("total_overtime"),
         F.sum("total_gross_pay").cast(schemas.TOTAL_PAY).alias("total_gross_pay"),
         F.sum("num_shifts").cast("int").alias("num_shifts"),
         F.min("pay_period").alias("pay_period"),
-    )
+    ]
+
+
+def fold_payroll(summary: DataFrame) -> DataFrame:
+    """One row per employee and week: the key of the payroll table.
+
+    Weeks worked in several departments are added up and carry the department with
+    the most hours, on equal hours the first by name.
+    """
+    return summary.groupBy(*_PAYROLL_KEYS).agg(*_folded())
+
+
+def fold_parts(parts: DataFrame) -> DataFrame:
+    """The payroll rows of ``parts``, and beside each the parts it was rounded from.
+
+    An employee has a part for each department of a week, so the list is short.
+    """
+    part = F.struct(*schemas.names(schemas.PAYROLL_PART)).alias("part")
+    rows = parts.select(*_PAYROLL_KEYS, "department", *_rounded(), part)
+    return rows.groupBy(*_PAYROLL_KEYS).agg(*_folded(), F.collect_list("part").alias("parts"))
 
 
 def run_totals(logs: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shiftpay import schemas
-from shiftpay.functions.columns import week_of
 from shiftpay.operators import pay, quality
 from shiftpay.sources import commits, files, sinks
 from shiftpay.sources.commits import State
@@ -57,19 +56,22 @@ def seen_ids(root: str, raw: DataFrame, attempts: list[str]) -> DataFrame | None
     return stored.join(ids.alias("i"), same, "left_semi").distinct()
 
 
-def touched_logs(root: str, logs: DataFrame, base: State) -> DataFrame:
-    """Shifts stored before, and ``logs``, of each (employee, week) in ``logs``.
+def earlier_parts(root: str, own: DataFrame, base: State) -> DataFrame:
+    """What went before into the payroll of each (employee, week) in ``own``, as parts.
 
-    Only the months those weeks reach into are read.
+    Payroll rows hold the exact sums that they were rounded from, so only payroll of the
+    weeks of the load is read, and no stored shift. Where shifts or payroll were changed
+    without the other, the months those weeks reach into are added up instead.
     """
-    week = week_of(F.col("log_date"))
-    columns = schemas.names(schemas.TIME_LOGS)
-    touched = logs.select("employee_id", week.alias("week")).distinct()
-    days = touched.select(F.explode(F.array("week", F.date_add("week", 6))).alias("log_date"))
+    spark, keys = own.sparkSession, ["employee_id", "week_start"]
+    touched = own.select(*keys).distinct()
+    if not base.loose:
+        rows = sinks.payroll(spark, root, base, sinks.week_names(own), with_parts=True)
+        return rows.join(touched, keys, "left_semi").select(*keys, F.inline("parts"))
+    days = own.select(F.explode(F.array("week_start", F.date_add("week_start", 6))).alias("log_date"))
     in_months = sinks.any_of(sinks.with_month(days), "log_month")
-    stored = sinks.time_logs(logs.sparkSession, root, base).filter(in_months)
-    earlier = stored.withColumn("week", week).join(touched, ["employee_id", "week"], "left_semi")
-    return earlier.select(*columns).unionByName(logs.select(*columns))
+    shifts = sinks.time_logs(spark, root, base).filter(in_months)
+    return pay.payroll_parts(shifts).join(touched, keys, "left_semi")
 
 
 @dataclass
@@ -113,10 +115,12 @@ def _write(
     errors = quality.validation_errors(validated, run_id, now)
     has_errors = sinks.load_errors(root, errors, number, attempt)
     sinks.write_ids(root, validated, attempt)
-    # A first load has no other shifts of its weeks to look up.
-    touched = touched_logs(root, logs, base) if base.logs else logs
-    summary = pay.payroll_summary(touched)
-    rows, weeks = sinks.write_payroll(root, summary, now, base, attempt)
+    parts = files.stage_in(pay.payroll_parts(logs), f"{folder}/own-parts")
+    if base.logs:  # a first load has nothing to go on from
+        added = pay.add_parts(earlier_parts(root, parts, base).unionByName(parts))
+        parts = files.stage_in(added, f"{folder}/parts")
+    rows, weeks = sinks.write_payroll(root, pay.fold_parts(parts), now, base, attempt)
+    summary = pay.summary_of_parts(parts)
     load = Load(number, validated, logs, summary, folder, inserted, rows, has_errors)
     return _Written(attempt, number, load, weeks)
 
@@ -194,6 +198,8 @@ def load_raw(
         """Whether what was written is right beside the loads that came in between."""
         if committed(state) or not sinks.same_weeks(base, state, written.weeks):
             return False
+        if state.loose != base.loose:
+            return False
         between = [a for n, a in state.ids.items() if base.ids.get(n) != a]
         met = seen_ids(root, raw, between)
         return met is None or met.isEmpty()

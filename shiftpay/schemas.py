@@ -94,3 +94,14 @@ def with_fields(schema: T.StructType, **extra: T.DataType) -> T.StructType:
 
 #: Payroll as it is stored: with the time a row was first written.
 PAYROLL_TABLE = with_fields(PAYROLL, created_at=T.TimestampType())
+
+#: Exact sums of an employee's shifts of a week in one department. Sums of such rows are exact too.
+PAYROLL_PART = _struct(
+    ("department", T.StringType()),
+    ("hours", T.DecimalType(16, 4)),
+    ("overtime", T.DecimalType(16, 4)),
+    ("gross", T.DecimalType(20, 2)),
+    ("shifts", T.LongType()),
+)
+#: What payroll files hold: beside each row the parts it was rounded from.
+PAYROLL_FILE = with_fields(PAYROLL_TABLE, parts=T.ArrayType(PAYROLL_PART))

@@ -27,7 +27,9 @@ class State:
     entry a load and a week and nothing that grows with rows.
 
     ``loads`` has what each load number was; ``logs``, ``errors`` and ``ids`` the attempt whose
-    rows count, by load; ``weeks`` the attempt that wrote a payroll week last.
+    rows count, by load; ``weeks`` the attempt that wrote a payroll week last. ``loose`` is
+    the last commit that changed shifts or payroll without the other, 0 if there is none:
+    from then on payroll can't be carried forward from what payroll rows hold.
     """
 
     revision: int = 0
@@ -37,6 +39,7 @@ class State:
     ids: dict[int, str] = field(default_factory=dict)
     weeks: dict[str, str] = field(default_factory=dict)
     employees: str | None = None
+    loose: int = 0
 
     @property
     def next_load(self) -> int:
@@ -56,6 +59,8 @@ def latest(spark: SparkSession, root: str) -> State:
     if not names:
         return State()
     found = json.loads(files.read_text(spark, f"{root}/commits/{max(names)}"))
+    # payroll of tables older than this field has no parts to go on from
+    found.setdefault("loose", found["revision"] if found["logs"] else 0)
     by_load = {k: {int(n): v for n, v in found[k].items()} for k in ("loads", "logs", "errors", "ids")}
     return State(**(found | by_load))
 

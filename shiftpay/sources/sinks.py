@@ -7,7 +7,8 @@ Layout below a warehouse folder, where an attempt is one try to write something:
     time_logs/batch_id=N/attempt=A/log_month=...    rows inserted by load N
     validation_errors/batch_id=N/attempt=A          rows flagged by load N
     log_ids/attempt=A/bucket=...                    ids that a load met, clean or flagged
-    payroll_summary/attempt=A                       one row per employee and week
+    payroll_summary/attempt=A                       one row per employee and week, with the
+                                                    exact sums that it was rounded from
 
 Readers see what the last commit names, so a load shows with all its shifts, errors and
 payroll weeks or not at all. Loads may overlap and may break off: one that finds another
@@ -151,7 +152,11 @@ def validation_errors(spark: SparkSession, root: str) -> DataFrame:
 
 
 def payroll(
-    spark: SparkSession, root: str, state: State | None = None, weeks: set[str] | None = None
+    spark: SparkSession,
+    root: str,
+    state: State | None = None,
+    weeks: set[str] | None = None,
+    with_parts: bool = False,
 ) -> DataFrame:
     """Payroll, of all weeks or of those named."""
     state = state or commits.latest(spark, root)
@@ -160,7 +165,8 @@ def payroll(
         if weeks is None or week in weeks:
             held.setdefault(attempt, []).append(week)
     # which weeks of an attempt count is a filter that skips files and row groups
-    schema = schemas.with_fields(schemas.PAYROLL_TABLE, attempt=T.StringType())
+    columns = schemas.PAYROLL_FILE if with_parts else schemas.PAYROLL_TABLE
+    schema = schemas.with_fields(columns, attempt=T.StringType())
     rows = _read(spark, root, "payroll_summary", schema, [f"attempt={a}" for a in held])
     counts = [(F.col("attempt") == a) & _in_weeks(some) for a, some in held.items()]
     return rows.filter(reduce(Column.__or__, counts, F.lit(False))).drop("attempt")
@@ -212,7 +218,8 @@ def load_time_logs(
 ) -> int:
     """Insert shifts whose log_id no earlier load inserted; rows really inserted.
 
-    The rows replace those of an earlier load ``batch_id``.
+    The rows replace those of an earlier load ``batch_id``. Payroll is left as it is, so
+    loads that follow add up their weeks from stored shifts.
     """
     spark = logs.sparkSession
     while True:
@@ -223,7 +230,9 @@ def load_time_logs(
         rows = write_logs(absent.select(*schemas.names(schemas.TIME_LOGS)), path)
         if commits.commit(
             spark, root, base,
-            lambda state, a=attempt, n=rows: replace(state, logs=_with_load(state.logs, batch_id, a, n)),
+            lambda state, a=attempt, n=rows: replace(
+                state, logs=_with_load(state.logs, batch_id, a, n), loose=state.revision + 1
+            ),
             lambda state, b=base: state.logs == b.logs,
         ):
             return rows
@@ -266,28 +275,29 @@ def run_errors(spark: SparkSession, root: str, batch_id: int | None = None) -> D
 
 
 def write_payroll(
-    root: str, summary: DataFrame, now: datetime, base: State, attempt: str
+    root: str, folded: DataFrame, now: datetime, base: State, attempt: str
 ) -> tuple[int, set[str]]:
-    """Write the weeks in ``summary`` as they are after its rows are upserted into the
-    payroll of ``base``; rows inserted or updated, and the weeks.
+    """Write the weeks in ``folded`` (payroll rows, with their parts) as they are after its
+    rows are upserted into the payroll of ``base``; rows inserted or updated, and the weeks.
 
     Only these weeks are read. They go to few files, each of some weeks in order, whatever
     the number of weeks; rows of these weeks in older files no longer count. The driver keeps
     the names of the weeks, as many as the calendar has.
     """
-    spark = summary.sparkSession
+    spark = folded.sparkSession
     folder = files.new_folder(spark, "payroll")
     try:
-        dated = fold_payroll(summary).withColumn("created_at", F.lit(now).cast("timestamp"))
+        dated = folded.withColumn("created_at", F.lit(now).cast("timestamp"))
         loaded = files.stage_in(dated, folder)
-        weeks = {str(r[0] or _NO_WEEK) for r in loaded.select("week_start").distinct().collect()}
+        weeks = week_names(loaded)
         if not weeks:
             return 0, weeks
         merged = loaded
         if base.weeks.keys() & weeks:
-            merged = merge.upsert_payroll(payroll(spark, root, base, weeks), loaded)
+            stored = payroll(spark, root, base, weeks, with_parts=True)
+            merged = merge.upsert_payroll(stored, loaded)
         (
-            merged.select(*schemas.names(schemas.PAYROLL_TABLE))
+            merged.select(*schemas.names(schemas.PAYROLL_FILE))
             .hint("rebalance", "week_start")
             .sortWithinPartitions("week_start", "employee_id")
             .write.parquet(f"{root}/payroll_summary/attempt={attempt}")
@@ -297,6 +307,11 @@ def write_payroll(
         files.remove(spark, folder)
 
 
+def week_names(rows: DataFrame) -> set[str]:
+    """The weeks in ``rows`` as a state names them, as many as the calendar has."""
+    return {str(r[0] or _NO_WEEK) for r in rows.select("week_start").distinct().collect()}
+
+
 def with_weeks(state: State, weeks: set[str], attempt: str) -> State:
     return replace(state, weeks=state.weeks | dict.fromkeys(weeks, attempt))
 
@@ -308,15 +323,20 @@ def same_weeks(a: State, b: State, weeks: set[str]) -> bool:
 def load_payroll(root: str, summary: DataFrame, now: datetime) -> int:
     """Upsert payroll rows; rows inserted or updated.
 
-    The merged weeks go to folders of their own, and count from the commit on.
+    The merged weeks go to folders of their own, and count from the commit on. The rows come
+    without shifts, so loads that follow add up their weeks from stored shifts.
     """
     spark = summary.sparkSession
+    unknown = F.lit(None).cast(schemas.PAYROLL_FILE["parts"].dataType)
+    folded = fold_payroll(summary).withColumn("parts", unknown)
     while True:
         base, attempt = commits.latest(spark, root), new_attempt()
-        rows, weeks = write_payroll(root, summary, now, base, attempt)
+        rows, weeks = write_payroll(root, folded, now, base, attempt)
         if not weeks or commits.commit(
             spark, root, base,
-            lambda state, w=weeks, a=attempt: with_weeks(state, w, a),
+            lambda state, w=weeks, a=attempt: replace(
+                with_weeks(state, w, a), loose=state.revision + 1
+            ),
             lambda state, b=base, w=weeks: same_weeks(state, b, w),
         ):
             return rows

@@ -1,5 +1,6 @@
 """Loads that overlap, break off or are played again."""
 
+import json
 import threading
 from datetime import datetime, timezone
 
@@ -102,6 +103,72 @@ def test_overlapping_loads_keep_all_rows(spark, root):
     _assert_payroll_is_that_of_the_shifts(spark, root)
 
 
+def _odd_shifts(spark, load):
+    """Shifts of one week in two departments; hours and pay have more digits than totals."""
+    return raw(
+        spark,
+        *[
+            {"log_id": f"{load}-{k}", "department": f"D{k % 2}", "seconds": 8 * 3600 + 18 + 7 * k}
+            for k in range(4)
+        ],
+    )
+
+
+def test_payroll_goes_on_from_exact_sums_without_reading_shifts(spark, root, monkeypatch):
+    def read(*_):
+        raise AssertionError("stored shifts were read")
+
+    _load(root, _odd_shifts(spark, "a"), "one")
+    with monkeypatch.context() as patch:
+        patch.setattr(loads.sinks, "time_logs", read)
+        for name in "bcd":
+            _load(root, _odd_shifts(spark, name), name)
+    assert sinks.payroll(spark, root).first().num_shifts == 16
+    assert sinks.payroll(spark, root).columns == schemas.names(schemas.PAYROLL_TABLE)
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+    row = sinks.payroll(spark, root, with_parts=True).first()
+    assert sorted((p.department, p.shifts) for p in row.parts) == [("D0", 8), ("D1", 8)]
+
+
+def test_shifts_inserted_beside_loads_count(spark, root):
+    _load(root, raw(spark, {"log_id": "A"}), "one")
+    shifts = pay.transform(raw(spark, {"log_id": "B"})).select(*schemas.names(schemas.TIME_LOGS))
+    assert sinks.load_time_logs(root, shifts, 5) == 1
+    _load(root, raw(spark, {"log_id": "C"}), "two")
+    _load(root, raw(spark, {"log_id": "D"}), "three")
+    assert sinks.payroll(spark, root).first().num_shifts == 4
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+
+
+def test_shifts_inserted_during_a_load_count(spark, root):
+    shifts = pay.transform(raw(spark, {"log_id": "B"})).select(*schemas.names(schemas.TIME_LOGS))
+    _load(root, raw(spark, {"log_id": "A"}), "one")
+    tries = [lambda: sinks.load_time_logs(root, shifts, 9)]
+    _load(root, raw(spark, {"log_id": "C"}), "two", before_commit=_meanwhile(*tries))
+    assert sinks.payroll(spark, root).first().num_shifts == 3
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+
+
+def test_payroll_written_beside_loads_is_made_good(spark, root):
+    """Rows that came without shifts have no parts to go on from."""
+    _load(root, raw(spark, {"log_id": "A"}), "one")
+    sinks.load_payroll(root, sinks.payroll(spark, root).drop("created_at"), NOW)
+    _load(root, raw(spark, {"log_id": "B"}), "two")
+    assert sinks.payroll(spark, root).first().num_shifts == 2
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+
+
+def test_tables_from_before_parts_go_on_from_shifts(spark, root):
+    _load(root, raw(spark, {"log_id": "A"}), "one")
+    (name,) = [n for n in files.names(spark, f"{root}/commits") if n.endswith(".json")]
+    old = json.loads(files.read_text(spark, f"{root}/commits/{name}"))
+    del old["loose"]
+    files.create_new(spark, f"{root}/commits/{2:012d}.json", json.dumps(old | {"revision": 2}))
+    assert commits.latest(spark, root).loose == 2
+    _load(root, raw(spark, {"log_id": "B"}), "two")
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+
+
 def test_a_load_that_nothing_met_only_gets_another_number(spark, root):
     march = {"clock_in": datetime(2024, 3, 5, 8), "log_date": datetime(2024, 3, 5).date()}
     march["clock_out"] = datetime(2024, 3, 5, 16)
