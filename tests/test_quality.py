@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import START, by, raw
+from shiftpay.functions import firsts
 from shiftpay.functions.firsts import mark_repeats
 from shiftpay.operators import constraints, quality
 from shiftpay.operators.quality import REASONS
@@ -214,3 +215,30 @@ def test_orphans(spark):
     rows = raw(spark, {"employee_id": "E1"}, {"employee_id": "E9"}, {"employee_id": None})
     staff = spark.createDataFrame([("E1",)], "employee_id string")
     assert [r.employee_id for r in constraints.orphans(rows, staff).collect()] == ["E9"]
+
+
+@pytest.mark.parametrize("hot_rows", [5, 500])
+@pytest.mark.parametrize("known_are_errors", [True, False])
+def test_hot_and_other_ids_beside_ids_of_earlier_loads(spark, monkeypatch, hot_rows, known_are_errors):
+    monkeypatch.setattr(firsts, "HOT_ROWS", hot_rows)
+    rows = raw(
+        spark,
+        *[{"log_id": "X"}] * 30,
+        *[{"log_id": "Y"}] * 30,
+        *[{"log_id": None}] * 20,
+        *[{"log_id": i} for i in ("A", "A", "B", "B")],
+    )
+    seen = spark.createDataFrame([("X",), ("A",), ("A",), ("Z",), (None,)], "log_id string")
+    found = quality.validate(rows.repartition(7), ["n"], seen, known_are_errors)
+    counts = Counter((r.log_id, r.error_reason) for r in found.collect())
+    again = "DUPLICATE_RECORD"
+    known = {("X", again): 30, (None, again): 20, ("A", again): 2} if known_are_errors else {}
+    assert counts == {("Y", None): 1, ("Y", again): 29, ("B", None): 1, ("B", again): 1, **known}
+
+
+def test_rows_move_once_to_the_others_of_their_id(spark):
+    rows = raw(spark, *[{"log_id": f"L{i % 40}"} for i in range(60)])
+    marked = mark_repeats(rows.repartition(5), "log_id", ["n"], "again")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert marked.filter("again").count() == 20
