@@ -289,3 +289,20 @@ def test_a_failing_replacement_leaves_the_old_table(spark, tmp_path, monkeypatch
     sinks.upload(rows, path, sinks.APPEND)
     assert spark.read.parquet(path).count() == 4
     assert files.names(spark, str(tmp_path)) == ["t"]
+
+
+def test_a_load_in_the_way_costs_payroll_alone(spark, root, monkeypatch):
+    """Both loads touch the same week and no common id: shifts are judged and written once."""
+    judged = []
+    validate = loads.quality.validate
+    monkeypatch.setattr(loads.quality, "validate", lambda *a: (judged.append(1), validate(*a))[1])
+    step = _meanwhile(lambda: _load(root, _odd_shifts(spark, "b"), "two"))
+    _load(root, _odd_shifts(spark, "a"), "one", before_commit=step)
+    assert len(judged) == 2
+    assert sinks.payroll(spark, root).first().num_shifts == 8
+    _assert_payroll_is_that_of_the_shifts(spark, root)
+
+
+def test_staged_rows_of_a_load_hold_no_arrival_order(spark, root):
+    load = _load(root, raw(spark, {"log_id": "A"}, {"log_id": "A"}), "one")
+    assert load.validated.columns == [*schemas.names(schemas.RAW_LOGS), "error_reason"]
