@@ -15,7 +15,7 @@ from shiftpay.sources.files import stage
 LENGTH = 200
 #: Bytes of an anchor: of the anchors' hashes that a window holds, the least is its own.
 ANCHOR = 32
-#: Surroundings of one anchor that are sorted in one task; beyond, windows are counted.
+#: Surroundings of one anchor that are sorted in one task; beyond, windows are counted by digest.
 ANCHOR_LIMIT = 2000
 _GROUP_BYTES = 1 << 20
 
@@ -304,32 +304,136 @@ def _sorted_spans(length: int):
     return work
 
 
-def _counted_windows(length: int):
-    """Surroundings to one 128-bit digest for each window."""
+def _block_width(length: int) -> int:
+    """Windows of a block: about as many as a surrounding has blocks."""
+    return max(1, round((length - ANCHOR + 1) ** 0.5))
+
+
+def _blocks(length: int):
+    """Surroundings to blocks of their windows, by the bytes ahead of the anchor in a window.
+
+    ``key`` is a hash of the bytes that all windows of the block have in common, so equal windows
+    lie in blocks of one key; ``cover`` a digest of all bytes that those held here cover.
+    """
+    width = _block_width(length)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in shared.text_slices(batches, "bytes"):
+            before = batch.column("before").to_numpy().astype(np.int64)
             windows = batch.column("windows").to_numpy().astype(np.int64)
-            row, window = np.repeat(np.arange(len(windows)), windows), shared.ranges(windows)
+            low, high = (before - windows + 1) // width, before // width
+            row = np.repeat(np.arange(len(before)), high - low + 1)
+            block = low[row] + shared.ranges(high - low + 1)
+            ahead = before[row]
+            inner = ahead - block * width, ahead - (block + 1) * width + 1 + length
+            begin = np.maximum(ahead - (block + 1) * width + 1, 0)
+            end = np.minimum(inner[0] + 1, windows[row])  # windows begin .. end - 1
+            texts = batch.column("bytes").to_pylist()
+            keys, covers = np.empty(len(row), np.uint64), []
+            for k, (r, a, b, c, d, n, h) in enumerate(
+                zip(*(x.tolist() for x in (row, *inner, begin, end, block, ahead)))
+            ):
+                keys[k] = xxhash.xxh3_64_intdigest(texts[r][a:b], n)
+                covers.append(xxhash.xxh3_128_digest(texts[r][c : d - 1 + length], h - c))
+            taken = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys.view(np.int64)), pa.array(covers, pa.binary()),
+                    *(batch.column(c).take(taken) for c in ("single", "gram", "id", "digest", "first")),
+                    pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)),
+                ],
+                ["key", "cover", "single", "gram", "id", "digest", "first", "begin", "end"],
+            )
+
+    return work
+
+
+_BLOCK = (
+    "key long, cover binary, single boolean, gram long, id long, digest long, first int, begin int, end int"
+)
+
+
+def _counted_windows(length: int):
+    """Surroundings to one 128-bit digest for each window of the blocks ``asked`` of them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in shared.text_slices(batches, "bytes"):
+            asked = batch.column("asked")
+            flat = asked.flatten()
+            begin, end = (flat.field(f).to_numpy().astype(np.int64) for f in ("begin", "end"))
+            of = np.repeat(
+                np.arange(batch.num_rows), np.diff(asked.offsets.to_numpy().astype(np.int64))
+            )
+            part = np.repeat(np.arange(len(begin)), end - begin)
+            row, window = of[part], begin[part] + shared.ranges(end - begin)
             texts = batch.column("bytes").to_pylist()
             found = [
                 xxhash.xxh3_128_digest(texts[r][w : w + length])
                 for r, w in zip(row.tolist(), window.tolist())
             ]
             taken = pa.array(row)
-            begin = batch.column("first").to_numpy()[row] + window
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found, pa.binary()), batch.column("single").take(taken),
+                    pa.array(found, pa.binary()), flat.field("alone").take(pa.array(part)),
                     batch.column("id").take(taken), batch.column("digest").take(taken),
-                    pa.array(begin.astype(np.int32)),
+                    pa.array((batch.column("first").to_numpy()[row] + window).astype(np.int32)),
                 ],
-                ["window", "single", "id", "digest", "begin"],
+                ["window", "alone", "id", "digest", "begin"],
             )
 
     return work
 
 
+def _hot_spans(around: DataFrame, length: int) -> list[DataFrame]:
+    """Spans that repeat among the surroundings of anchors with very many.
+
+    Their windows are taken in blocks. Parts that cover the same bytes repeat whole. Only where
+    a block's common bytes stand in parts that differ, and one of these is the only of its kind,
+    is each window of one part of a kind counted by its digest, combined before the shuffle.
+    """
+    blocks = stage(shared.mapped(around, _blocks(length), _BLOCK), "blocks")
+    place = ["gram", "id", "digest", "first"]
+    kinds = stage(
+        blocks.groupBy("key", "cover").agg(
+            F.count("*").alias("n"), F.min(F.struct(*place, "single", "begin", "end")).alias("one")
+        ),
+        "block-kinds",
+    )
+    alone = (F.col("n") == 1) & F.col("one.single")
+    mixed = (
+        kinds.groupBy("key")
+        .agg(F.count("*").alias("kinds"), F.max(alone).alias("alone"))
+        .where("kinds > 1 and alone")
+        .select("key")
+    )
+    asked = (
+        kinds.join(mixed, "key", "left_semi")
+        .select("one.*", alone.alias("alone"))
+        .groupBy(*place)
+        .agg(F.collect_list(F.struct("begin", "end", "alone")).alias("asked"))
+    )
+    # rows that are equal in all of these have the same bytes, one of them stands for all
+    held = around.dropDuplicates(place).join(asked, place)
+    counted = stage(
+        shared.mapped(
+            held.select("id", "digest", "first", "bytes", "asked"),
+            _counted_windows(length),
+            "window binary, alone boolean, id long, digest long, begin int",
+        ),
+        "counted-windows",
+    )
+    several = counted.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
+    same = blocks.where("single").join(kinds.where("n > 1").select("key", "cover"), ["key", "cover"], "left_semi")
+    return [
+        counted.where("alone").join(several, "window", "left_semi")
+        .select("id", "digest", "begin", (F.col("begin") + length).alias("end")),
+        same.select(
+            "id", "digest", (F.col("first") + F.col("begin")).alias("begin"),
+            (F.col("first") + F.col("end") - 1 + length).alias("end"),
+        ),
+    ]
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, digest, spans): for each row with any, spans of bytes that repeat elsewhere.
 
@@ -339,7 +443,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     and this takes a digest; only where surroundings differ, at the borders of repeated
     passages and edits, are their bytes fetched, once for each different one, and the
     suffixes sorted anchor by anchor. An anchor with more than ANCHOR_LIMIT different
-    surroundings has its windows counted by digest instead, combined before the shuffle.
+    surroundings has its windows counted by digest instead, see _hot_spans.
     """
     rows = docs.select(
         shared.id_key().alias("id"), shared.text_key().alias("digest"), shared.text_or_empty().alias("text")
@@ -379,17 +483,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = []
     if not hot.isEmpty():
         plain = around.join(hot, "gram", "left_anti")
-        counted = shared.mapped(
-            around.join(hot, "gram", "left_semi").select(*around.columns),
-            _counted_windows(length),
-            "window binary, single boolean, id long, digest long, begin int",
-        )
-        counted = stage(counted, "counted-windows")
-        several = counted.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
-        spans.append(
-            counted.where("single").join(several, "window", "left_semi")
-            .select("id", "digest", "begin", (F.col("begin") + length).alias("end"))
-        )
+        spans += _hot_spans(around.join(hot, "gram", "left_semi").select(*around.columns), length)
     dealt = plain.repartition("gram").sortWithinPartitions("gram")
     spans.append(
         shared.mapped(

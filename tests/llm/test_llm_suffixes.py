@@ -47,6 +47,28 @@ def test_equals_brute_force(spark, monkeypatch, length, limit):
     assert found == brute(rows(), length)
 
 
+def test_hot_anchors_count_windows_only_where_a_passage_ends(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "ANCHOR_LIMIT", 10)
+    made, stage = {}, suffixes.stage
+
+    def noted(frame, name, *more):
+        made[name] = stage(frame, name, *more)
+        return made[name]
+
+    monkeypatch.setattr(suffixes, "stage", noted)
+    draw = random.Random(5)
+    text = lambda n: "".join(draw.choices("abcdefgh ", k=n))
+    passage = text(260)
+    some = [(k, text(300) + passage + text(300)) for k in range(60)]
+    some += [(100 + k, f"{passage[:230]}{text(2)}{passage[232:]}") for k in range(20)]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    found = suffixes.remove_repeats(docs).collect()
+    found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found), key=repr)
+    assert found == brute(some, 200)
+    around = made["surroundings"].join(made["hot-anchors"], "gram").agg({"windows": "sum"}).first()[0]
+    assert 0 < made["counted-windows"].count() < around / 3
+
+
 def test_real_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     plain = [tuple(r) for r in docs.collect()]
