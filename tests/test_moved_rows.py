@@ -58,6 +58,27 @@ def test_the_hash_of_an_id_is_not_moved(spark):
         assert len(lines) == 1 and "hashpartitioning(log_id#" in lines[0]
 
 
+def test_rows_that_lie_by_id_stay_to_look_up_known_ids(spark):
+    ids = [("a",), ("a",), ("b",), (None,)]
+    rows = spark.createDataFrame(ids, "log_id string").repartition("log_id")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        for known, left in (
+            ([("a",)], ["b", None]),
+            ([("a",), (None,), (None,)], ["b"]),
+            ([], ["a", "a", "b", None]),
+            ([(None,)], ["a", "a", "b"]),
+        ):
+            old = spark.createDataFrame(known, "log_id string").repartition("log_id")
+            absent = merge.without_ids(rows, old)
+            assert "hashpartitioning(coalesce" not in _plan(absent)
+            assert sorted([r.log_id for r in absent.collect()], key=str) == sorted(left, key=str)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_payroll_is_moved_once_and_lies_by_week(spark):
     old, parts = _stored(spark, _shifts(spark, 0, 40)), pay.payroll_parts(_shifts(spark, 40, 40))
     parts = parts.localCheckpoint()
