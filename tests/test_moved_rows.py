@@ -9,8 +9,9 @@ from pyspark.testing import assertDataFrameEqual
 from shiftpay import schemas
 from shiftpay.functions.firsts import mark_repeats
 from shiftpay.operators import merge, pay
+from shiftpay.plans import registry
 from shiftpay.plans.pipeline import run_pipeline
-from shiftpay.sources import sinks
+from shiftpay.sources import files, sinks
 from rows import logs, raw, staff
 
 NOW, LATER = datetime(2024, 2, 1), datetime(2024, 2, 2)
@@ -79,6 +80,25 @@ def test_rows_that_lie_by_id_stay_to_look_up_known_ids(spark):
         spark.conf.set(setting, before)
 
 
+def test_processed_tables_move_and_stage_what_is_used(spark, monkeypatch):
+    staged, dealt, stage, write = [], [], files.stage, sinks.write_logs
+
+    def noted_stage(rows, *more):
+        staged.append(rows.columns)
+        return stage(rows, *more)
+
+    def noted_write(rows, *more, **named):
+        dealt.append(rows.columns)
+        return write(rows, *more, **named)
+
+    monkeypatch.setattr(files, "stage", noted_stage)
+    monkeypatch.setattr(sinks, "write_logs", noted_write)
+    found = registry.queries()["processed_tables"](spark, "/root/testdata/sf0.001")
+    assert {r.table_name: r.row_count for r in found.collect()}["payroll_summary"] > 0
+    raw_columns = schemas.names(schemas.RAW_LOGS)
+    assert staged == [[*raw_columns, "error_reason"]] and dealt == [raw_columns]
+
+
 def test_payroll_is_moved_once_and_lies_by_week(spark):
     old, parts = _stored(spark, _shifts(spark, 0, 40)), pay.payroll_parts(_shifts(spark, 40, 40))
     parts = parts.localCheckpoint()
