@@ -6,15 +6,18 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame, types as T
 
 from shiftpay.llm import shared
-from shiftpay.llm.pieces import Memory, Pieces, encoded
+from shiftpay.llm.pieces import Pieces, gathered
+
+#: Odd multiplier that spreads pairs of tokens over slots.
+_STIR = np.uint64(shared.BASE)
 
 
 class Vocabulary:
@@ -178,51 +181,79 @@ class Words:
 
     #: Longer words go through Prefixes one by one.
     LONGEST = 40
+    #: Answers of ``fits`` that are kept, as a power of two.
+    _PAIR_BITS = 20
+    _BLOCK = 1 << 18
 
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
         self._table = _Table(vocabulary.rank)
-        self._pairs: dict[int, bool] = {}
+        self._pair = np.full(1 << self._PAIR_BITS, -1, np.int64)
+        self._pair_fits = np.zeros(1 << self._PAIR_BITS, bool)
         listed = [vocabulary.bytes.get(i, b"") for i in range(max(vocabulary.bytes) + 1)]
-        self._size = np.array([len(t) for t in listed])
-        self.places = np.r_[0, np.cumsum(self._size)]
+        self.size = np.array([len(t) for t in listed])
+        self.places = np.r_[0, np.cumsum(self.size)]
         self.joined = np.frombuffer(b"".join(listed), np.uint8)
 
     def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys, known = ((left << 32) | right).tolist(), self._pairs
-        if len(known) > 1_000_000:
-            known.clear()
-        for key in {k for k in keys if k not in known}:
-            tokens = self._vocabulary.bytes
-            known[key] = self._vocabulary.fits(tokens[key >> 32], tokens[key & 0xFFFFFFFF])
-        return np.fromiter(map(known.__getitem__, keys), bool, len(keys))
+        keys = (left << 32) | right
+        slots = ((keys.astype(np.uint64) * _STIR) >> np.uint64(64 - self._PAIR_BITS)).astype(np.int64)
+        fits = self._pair_fits[slots]
+        new = np.flatnonzero(self._pair[slots] != keys)
+        if len(new):
+            told, at = np.unique(keys[new], return_inverse=True)
+            tokens, decide = self._vocabulary.bytes, self._vocabulary.fits
+            found = [decide(tokens[k >> 32], tokens[k & 0xFFFFFFFF]) for k in told.tolist()]
+            fits[new] = np.array(found, bool)[at]
+            # of pairs with the same slot one stays, with its own answer
+            self._pair[slots[new]] = keys[new]
+            self._pair_fits[slots[new]] = fits[new]
+        return fits
 
     def decode(self, ids: np.ndarray) -> bytes:
-        if not len(ids):
-            return b""
-        begin = self.places[ids]
-        counts = self.places[ids + 1] - begin
-        return self.joined[np.repeat(begin, counts) + shared.ranges(counts)].tobytes()
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        """Ids, as little-endian unsigned 32-bit numbers, of each word."""
-        found: list[bytes] = [b""] * len(words)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= self.LONGEST]
-        short.sort(key=lambda i: -len(words[i]))
-        if short:
-            for i, ids in zip(short, self._short([words[i] for i in short])):
-                found[i] = ids
-        for i, w in enumerate(words):
-            if w and not found[i]:
-                found[i] = np.array(Prefixes(self._vocabulary, w).ids(), "<u4").tobytes()
-        return found
-
-    def _short(self, words: list[bytes]) -> list[bytes]:
+        """Bytes of the ids, a block at a time, as numbers for each byte take far more than it."""
+        blocks = (ids[low : low + self._BLOCK] for low in range(0, len(ids), self._BLOCK))
+        return b"".join(
+            gathered(self.joined, self.places[some], self.size[some]).tobytes() for some in blocks
+        )
+
+    def spell(
+        self, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> bool:
+        """Whether each word, ``counts`` ids long, has the bytes between its start and end."""
+        reach = np.r_[0, np.cumsum(self.size[ids])][np.r_[0, np.cumsum(counts)]]
+        sizes = ends - starts
+        return np.array_equal(np.diff(reach), sizes) and self.decode(ids) == gathered(
+            data, starts, sizes
+        ).tobytes()
+
+    def encode(
+        self, data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has. Words lie apart in ``data``,
+        of which ``sums`` are the prefix hashes."""
+        sizes = ends - starts
+        order = np.argsort(-sizes, kind="stable")
+        long = int(np.count_nonzero(sizes > self.LONGEST))
+        ids, some = self._short(data, sums, starts[order[long:]], sizes[order[long:]])
+        if not self.spell(ids, some, data, starts[order[long:]], ends[order[long:]]):
+            long, ids, some = len(order), ids[:0], some[:0]  # a hash that two strings share
+        rest = [
+            np.array(Prefixes(self._vocabulary, data[starts[k] : ends[k]].tobytes()).ids(), np.uint32)
+            for k in order[:long]
+        ]
+        ids = np.concatenate([*rest, ids])
+        counts = np.r_[np.array([len(x) for x in rest], np.int64), some]
+        first = np.cumsum(counts) - counts
+        back = np.argsort(order)
+        return gathered(ids, first[back], counts[back]), counts[back]
+
+    def _short(
+        self, data: np.ndarray, sums: np.ndarray, starts: np.ndarray, sizes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Of words sorted from long to short."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        sizes = np.array([len(w) for w in words])
-        starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        sums = shared.prefix_hashes(data)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         last = np.full(len(data), -1, np.int64)
         for end in range(1, int(sizes[0]) + 1):
             open_ = starts[: np.searchsorted(-sizes, -end, side="right")]
@@ -239,23 +270,20 @@ class Words:
                     if not len(open_):
                         break
         # read back from the end, all words together
-        place, counts = starts + sizes, np.zeros(len(words), np.int64)
+        place, counts = starts + sizes, np.zeros(len(starts), np.int64)
         steps = []
-        live = np.arange(len(words))
+        live = np.arange(len(starts))
         while len(live):
             token = last[place[live] - 1]
             steps.append((live, token))
             counts[live] += 1
-            place[live] -= self._size[token]
+            place[live] -= self.size[token]
             live = live[place[live] > starts[live]]
         ends = np.cumsum(counts)
-        ids = np.empty(ends[-1], "<u4")
+        ids = np.empty(ends[-1], np.uint32)
         for k, (at, token) in enumerate(steps):
             ids[ends[at] - 1 - k] = token
-        raw = ids.tobytes()
-        if self.decode(ids) != data.tobytes():  # a hash that two strings share
-            return [b""] * len(words)
-        return [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist())]
+        return ids, counts
 
 
 @lru_cache(2)
@@ -270,18 +298,7 @@ def _words(path: str) -> Words:
 
 @lru_cache(2)
 def _pieces(path: str, pattern: str) -> Pieces:
-    words, split = _words(path), regex.compile(pattern)
-    known = Memory()
-
-    def encode(new: list[str]) -> list[bytes]:
-        matches = [split.findall(p) for p in new]
-        missing = list({m for some in matches for m in some if m not in known})
-        found = dict(zip(missing, words.ids([m.encode() for m in missing])))
-        ids = [b"".join([known.get(m) or found[m] for m in some]) for some in matches]
-        known.learn(found)
-        return ids
-
-    return Pieces(encode)
+    return Pieces(_words(path), pattern)
 
 
 def encode_decode(
@@ -307,8 +324,12 @@ def encode_decode(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(path)
-        for batch, ids in encoded(_pieces(path, pattern), batches):
-            back = [words.decode(np.frombuffer(x, "<u4")) for x in ids]
+        for batch in shared.text_slices(batches, "text"):
+            numbers, places = _pieces(path, pattern).encode(batch.column("text"))
+            reach = np.r_[0, np.cumsum(words.size[numbers])][places].tolist()
+            raw, spelt, at = numbers.astype("<u4").tobytes(), words.decode(numbers), places.tolist()
+            ids = [raw[4 * a : 4 * b] for a, b in pairwise(at)]
+            back = [spelt[a:b] for a, b in pairwise(reach)]
             columns = [
                 *batch.columns[:-1],
                 pa.array([len(x) // 4 for x in ids], pa.int64()),

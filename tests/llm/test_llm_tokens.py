@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -70,6 +71,62 @@ def test_more_than_the_memory_in_one_go(library, monkeypatch):
         assert [plain(a) for a in own.ids(some)] == [library.encode_ordinary(t) for t in some]
 
 
+def test_matches_at_every_border(library):
+    draw = random.Random(7)
+    parts = [
+        " ", " ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x7f", "\x85", "\xa0", "\u2003", "\u3000", "'", "'s", "'LL", "’",
+        "a", "Z", "été", "É", "×", "÷", "ª", "ÿ", "ā", "e\u0301", "ж", "7", "²", "٣", "_", "—", "-", ",", "...", "日",
+    ]
+    own = bpe._pieces.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    for _ in range(30):
+        some = ["".join(draw.choices(parts, k=draw.randint(0, 9))) for _ in range(400)]
+        assert [plain(a) for a in own.ids(some)] == [library.encode_ordinary(t) for t in some]
+    # each text ends where it ends, whatever the next one opens with
+    some = ["end  ", "next", "end \n", "'s", "end ", ",", "\n", "x", "", " ", "y"]
+    assert [plain(a) for a in own.ids(some)] == [library.encode_ordinary(t) for t in some]
+
+
+def looked_up(monkeypatch) -> list[int]:
+    """How many strings the table of tokens is asked for, call by call."""
+    asked, find = [], bpe._Table.find
+    monkeypatch.setattr(bpe._Table, "find", lambda self, h: asked.append(len(h)) or find(self, h))
+    return asked
+
+
+def test_words_of_a_small_memory_are_worked_out_once(library, monkeypatch):
+    monkeypatch.setattr(piece_memory, "MEMORY_BYTES", 100_000)
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abcdefghé", k=8)) for _ in range(1000)]
+    own = bpe._pieces.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    asked = looked_up(monkeypatch)
+    own.ids([f"so {w} it" for w in words])
+    assert asked
+    asked.clear()
+    # the same words, with other marks after them
+    some = [f"so {w}{m} it" for w in words for m in ("", " so", "\nso")]
+    found = own.ids(some)
+    assert sum(asked) < 100
+    assert [plain(a) for a in found] == [library.encode_ordinary(t) for t in some]
+
+
+def test_strings_that_share_a_hash_are_told_apart(library):
+    own = bpe._pieces.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    own.ids(["one two three", "four"])
+    own._known._first = own._known._first[::-1].copy()
+    some = ["four three", "one two", " two"]
+    assert [plain(a) for a in own.ids(some)] == [library.encode_ordinary(t) for t in some]
+
+
+@pytest.mark.parametrize("pattern", [r"\w+| |[^\w ]", r"[a-z ]+(?= )|[\s\S]"])
+def test_other_patterns(pattern):
+    own = bpe._pieces.__wrapped__(RANKS, pattern)
+    some = ["two words, and  more\n", "", "next one ", " x"]
+    vocabulary = bpe.vocabulary(RANKS)
+    for text, a in zip(some, own.ids(some)):
+        matches = re.findall(pattern, text)
+        assert plain(a) == [i for m in matches for i in bpe.Prefixes(vocabulary, m.encode()).ids()]
+
+
 def test_appends_and_edits_equal_encoding_anew():
     draw = random.Random(5)
     vocabulary = bpe.vocabulary(RANKS)
