@@ -31,8 +31,10 @@ def _kinds() -> np.ndarray:
 
 #: Of ASCII bytes; what the pattern takes control characters for is left to it.
 _KIND = _kinds()
-#: First byte of the Latin letters À to ÿ, and the second bytes there that are no letters.
-_LATIN, _NO_LATIN = 0xC3, (0x97, 0xB7)
+#: Which code points of two or three bytes are letters, as the pattern has it.
+_IS_LETTER = np.zeros(1 << 16, bool)
+_WIDE = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 1 << 16)]))
+_IS_LETTER[[ord(c) for c in regex.findall(r"\p{L}", _WIDE)]] = True
 #: First bytes of characters that may be white space outside ASCII.
 _MAYBE_SPACE = (0xC2, 0xE1, 0xE2, 0xE3)
 
@@ -169,12 +171,16 @@ def _binary(data: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 def kinds(data: np.ndarray) -> np.ndarray:
-    """What each byte belongs to, with the Latin letters À to ÿ among letters."""
+    """What each byte belongs to, with the bytes of letters outside ASCII among letters."""
     kind = _KIND[data]
-    lead = np.flatnonzero(data[:-1] == _LATIN)
-    second = data[lead + 1]
-    lead = lead[(second != _NO_LATIN[0]) & (second != _NO_LATIN[1])]
-    kind[lead] = kind[lead + 1] = _LETTER
+    for low, high, more in ((0xC2, 0xDF, 1), (0xE0, 0xEF, 2)):
+        lead = np.flatnonzero((data >= low) & (data <= high))
+        code = data[lead].astype(np.int64) & (0x1F if more == 1 else 0x0F)
+        for k in range(1, more + 1):
+            code = (code << 6) | (data[lead + k] & 0x3F)
+        lead = lead[_IS_LETTER[code]]
+        for k in range(more + 1):
+            kind[lead + k] = _LETTER
     return kind
 
 
